@@ -32,10 +32,10 @@ def _measure_sql(a: str, b: str, distance: float, where: str = "TRUE", join: str
     """Pairs of two word tables below the distance, counted word by word."""
     t = token_sets.exact(distance)
     return f"""common AS (SELECT a.id AS id_a, b.id AS id_b, a.copies AS copies_a, b.copies AS copies_b,
-            a.n + b.n - count(*) AS either, count(*) AS shared
+            a.n + b.n AS sizes, count(*) AS shared
           FROM {a}_w a JOIN {b}_w b ON a.w = b.w {join} WHERE {where} GROUP BY ALL)
-        SELECT id_a, id_b, round(1 - shared / either, 6) AS distance, copies_a, copies_b FROM common
-        WHERE shared * {t.denominator} > either * {t.denominator - t.numerator}"""
+        SELECT id_a, id_b, round(1 - shared / (sizes - shared), 6) AS distance, copies_a, copies_b FROM common
+        WHERE shared * {t.denominator} > (sizes - shared) * {t.denominator - t.numerator}"""
 
 
 _COEFFICIENTS_SQL = "coef(i, a, b) AS (VALUES " + ", ".join(
