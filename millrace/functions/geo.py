@@ -10,9 +10,15 @@ EARTH_RADIUS_KM = 6372.8
 
 
 def _arc(a: Column) -> Column:
-    """Radius times the central angle; NULL where ``a`` lies outside 0..1."""
-    angle = 2 * F.atan2(F.sqrt(a), F.sqrt(1 - a))
-    return F.when(a.between(0, 1), F.lit(EARTH_RADIUS_KM) * angle)
+    """Radius times the central angle; NULL where ``a`` lies outside 0..1 or is not a number.
+
+    ``a`` is bound once, as an element of an array, because the formula names it several times.
+    """
+
+    def angle(x: Column) -> Column:
+        return F.when(x.between(0, 1), 2 * EARTH_RADIUS_KM * F.atan2(F.sqrt(x), F.sqrt(1 - x)))
+
+    return F.transform(F.array(a), angle)[0]
 
 
 def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
@@ -21,7 +27,8 @@ def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Colu
     half_phi = (phi2 - phi1) / 2
     half_lambda = F.radians(lon2 - lon1) / 2
     a = F.pow(F.sin(half_phi), 2) + F.cos(phi1) * F.cos(phi2) * F.pow(F.sin(half_lambda), 2)
-    return _arc(F.least(a, F.lit(1.0)))
+    # rounding can lift antipodes just above 1
+    return _arc(F.round(a, 15))
 
 
 def legacy_trip_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:

@@ -47,7 +47,16 @@ def drop_colons(text: Column) -> Column:
 
 def token_rows(df: DataFrame, text_col: str, *keep: str, out: str = "word") -> DataFrame:
     """One row per token, with the ``keep`` columns. No shuffle."""
-    return df.select(*keep, F.explode(tokens(F.col(text_col))).alias(out))
+    return exploded(df, tokens(F.col(text_col)), out, *keep).where(F.col(out).isNotNull())
+
+
+def exploded(df: DataFrame, array: Column, out: str, *keep: str) -> DataFrame:
+    """One row per element; a row without elements stays, with NULL.
+
+    A plain explode makes Spark filter on the array's size first, at the scan, and so compute an
+    expensive array several times over.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(out))
 
 
 def without_stop_words(rows: DataFrame, stop_words: list[str], word_col: str = "word") -> DataFrame:

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import chat as C
 from ..functions.text import drop_colons, token_rows
-from .slicing import MAX_GROUP_ROWS
-from .windows import rank_within, running_total
+from .slicing import MAX_GROUP_ROWS, attach
+from .windows import number_rows, rank_within, running_total
+
+
+MAX_RECORD_LINES = 100_000
 
 
 def fold_lines(
@@ -20,16 +23,34 @@ def fold_lines(
     line_col: str = "value",
     joiner: str = "\n",
     max_rows: int | None = MAX_GROUP_ROWS,
+    max_lines: int = MAX_RECORD_LINES,
 ) -> DataFrame:
-    """(file columns, record, value): a line with a date header starts a record, others continue it.
+    """(file columns, record, part, value): a line with a date header starts a record, others
+    continue it.
 
     Lines before the first header of a file are record 0. The running count of headers is taken
-    in slices, so one huge file is not one task.
+    in slices, so one huge file is not one task. A record is one row, part 0, unless it has more
+    than ``max_lines`` lines (a file that is no chat): it then goes on in further parts, so that
+    no row has to hold a whole file.
     """
+    keys = [*file_cols, "record"]
     marked = running_total(lines, file_cols, order, C.starts_record(F.col(line_col)).cast("int"), "record", max_rows)
+    # at most rows / max_lines records are that long
+    long = marked.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > max_lines)
+    long = long.select(*keys).collect()
+    if long:
+        spark = lines.sparkSession
+        named = spark.createDataFrame(long, marked.select(*keys).schema).withColumn("__long", F.lit(True))
+        known = attach(marked, F.broadcast(named), keys, "left")
+        short_lines = known.where("__long IS NULL").withColumn("part", F.lit(0).cast("long"))
+        numbered = number_rows(known.where("__long"), keys, order, "__row", max_rows=max_rows)
+        long_lines = numbered.withColumn("part", F.floor((F.col("__row") - 1) / max_lines)).drop("__row")
+        parted = short_lines.unionByName(long_lines)
+    else:
+        parted = marked.withColumn("part", F.lit(0).cast("long"))
     piece = F.struct(*order, F.col(line_col).alias("__line"))
-    grouped = marked.groupBy(*file_cols, "record").agg(F.sort_array(F.collect_list(piece)).alias("__p"))
-    return grouped.select(*file_cols, "record", F.array_join("__p.__line", joiner).alias("value"))
+    grouped = parted.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(piece)).alias("__p"))
+    return grouped.select(*keys, "part", F.array_join("__p.__line", joiner).alias("value"))
 
 
 def parse_records(records: DataFrame, value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:

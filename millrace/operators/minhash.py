@@ -14,8 +14,9 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import exploded
 from .buckets import BUCKET_ROWS, SAMPLE, bucket_join, sampled_large_buckets
-from .token_sets import distinct_sets, near_pairs, size_bound, token_sets
+from .token_sets import SetsOf, distinct_sets, near_pairs, set_size, size_bound, token_sets
 
 PRIME = (1 << 31) - 1
 SEED = 7
@@ -54,12 +55,11 @@ def token_hash(token: Column) -> Column:
 
 def signatures(sets: DataFrame, n: int, seed: int = SEED) -> DataFrame:
     """(id, size, m0 ... m(n-1)) of non-empty sets of (id, tokens)."""
-    hashed = sets.select(
-        "id", F.size("tokens").alias("size"), F.explode("tokens").alias("token")
-    ).select("id", "size", token_hash(F.col("token")).alias("h"))
+    sized = sets.select("id", set_size().alias("size"), "tokens")
+    hashed = exploded(sized, F.col("tokens"), "token", "id", "size").select("id", "size", token_hash(F.col("token")).alias("h"))
+    # written as SQL text: dozens of columns are built much faster from it than call by call
     smallest = [
-        F.min((F.lit(a) * F.col("h") + F.lit(b)) % F.lit(PRIME)).alias(f"m{i}")
-        for i, (a, b) in enumerate(coefficients(n, seed))
+        F.expr(f"min(({a} * h + {b}) % {PRIME}) AS m{i}") for i, (a, b) in enumerate(coefficients(n, seed))
     ]
     return hashed.groupBy("id", "size").agg(*smallest)
 
@@ -68,13 +68,10 @@ def band_keys(sets: DataFrame, bands: int, rows: int, seed: int = SEED) -> DataF
     """(band, key, id, size): one bucket row per set and band."""
     signed = signatures(sets, bands * rows, seed)
     keys = [
-        F.struct(
-            F.lit(b).alias("band"),
-            F.xxhash64(*[F.col(f"m{b * rows + r}") for r in range(rows)]).alias("key"),
-        )
+        f"named_struct('band', {b}, 'key', xxhash64({', '.join(f'm{b * rows + r}' for r in range(rows))}))"
         for b in range(bands)
     ]
-    return signed.select("id", "size", F.explode(F.array(*keys)).alias("k")).select(
+    return signed.select("id", "size", F.expr(f"explode(array({', '.join(keys)}))").alias("k")).select(
         "k.band", "k.key", "id", "size"
     )
 
@@ -92,11 +89,13 @@ def candidates(
     return met.select("id_a", "id_b").distinct()
 
 
-def _side(df: DataFrame, id_col: str, text_col: str, shape: tuple[int, int], bucket_rows: int, sample: float):
+def _side(
+    df: DataFrame, id_col: str, text_col: str, shape: tuple[int, int], bucket_rows: int, sample: float, sets_of: SetsOf
+):
     def keys_of(part: DataFrame) -> DataFrame:
-        return band_keys(distinct_sets(token_sets(part, id_col, text_col)), *shape)
+        return band_keys(distinct_sets(sets_of(part, id_col, text_col)), *shape)
 
-    sets = distinct_sets(token_sets(df, id_col, text_col))
+    sets = distinct_sets(sets_of(df, id_col, text_col))
     large = sampled_large_buckets(df, keys_of, KEYS, bucket_rows, sample)
     return sets, band_keys(sets, *shape), large
 
@@ -109,9 +108,13 @@ def minhash_near_pairs(
     shape: tuple[int, int] | None = None,
     bucket_rows: int = BUCKET_ROWS,
     sample: float = SAMPLE,
+    sets_of: SetsOf = token_sets,
 ) -> DataFrame:
-    """Pairs of different token sets of one table nearer than ``distance`` (see the module text)."""
-    sets, keys, large = _side(df, id_col, text_col, shape or choose_bands(distance), bucket_rows, sample)
+    """Pairs of different token sets of one table nearer than ``distance`` (see the module text).
+
+    ``sets_of`` makes the sets: ``token_sets``, or ``hashed_sets`` for hash buckets.
+    """
+    sets, keys, large = _side(df, id_col, text_col, shape or choose_bands(distance), bucket_rows, sample, sets_of)
     return near_pairs(candidates(keys, keys, distance, True, large, large), sets, sets, distance)
 
 
@@ -126,10 +129,11 @@ def minhash_near_pairs_between(
     shape: tuple[int, int] | None = None,
     bucket_rows: int = BUCKET_ROWS,
     sample: float = SAMPLE,
+    sets_of: SetsOf = token_sets,
 ) -> DataFrame:
     """Pairs of a set of one table and a set of another nearer than ``distance``."""
     shape = shape or choose_bands(distance)
-    sets_a, keys_a, large_a = _side(df_a, id_a, text_a, shape, bucket_rows, sample)
-    sets_b, keys_b, large_b = _side(df_b, id_b, text_b, shape, bucket_rows, sample)
+    sets_a, keys_a, large_a = _side(df_a, id_a, text_a, shape, bucket_rows, sample, sets_of)
+    sets_b, keys_b, large_b = _side(df_b, id_b, text_b, shape, bucket_rows, sample, sets_of)
     found = candidates(keys_a, keys_b, distance, False, large_a, large_b)
     return near_pairs(found, sets_a, sets_b, distance)

@@ -12,7 +12,9 @@ frequencies, and all keys of a set are made from its own row.
   to be sure of a shared one adds its tokens with the smallest hashes, as many as two near sets
   cannot both miss. So a pair shares a filled segment if either set is well filled, and one of
   these tokens if neither is.
-* A run of consecutive shared segments gives one candidate, not one per segment.
+* The shared segments of a pair are counted. A near pair shares all but the allowed number of its
+  filled segments; sets that only meet in a common word or two share far fewer and are dropped
+  before any tokens are fetched.
 
 Candidates carry ids only; distances are computed on the tokens afterwards. The method is meant
 for small thresholds (near copies): the number of keys per set is about 0.6 per token at t = 0.2.
@@ -22,11 +24,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import exploded
 from .buckets import BUCKET_ROWS, SAMPLE, bucket_join, sampled_large_buckets
-from .token_sets import distinct_sets, exact, near_pairs, size_bound, token_sets
+from .token_sets import SetsOf, distinct_sets, exact, near_pairs, set_size, size_bound, token_sets
 
 LARGEST_SET = 1 << 31
 KEYS = ["cls", "seg", "key"]
@@ -44,20 +47,25 @@ def _classes(distance: float) -> list[tuple[int, int, int]]:
     return out
 
 
+def _constants(values: list[int]) -> Column:
+    return F.expr(f"array({', '.join(f'{v}L' for v in values)})")
+
+
 def _pick(values: list[int], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), index)
+    return F.element_at(_constants(values), index)
 
 
 def segment_keys(sets: DataFrame, distance: float, equal_sets: bool = True) -> DataFrame:
-    """(cls, seg, key, prev, id, size): the bucket rows of every set of (id, tokens).
+    """(cls, seg, key, id, size, own, need): the bucket rows of every set of (id, tokens).
 
-    ``equal_sets=False`` drops keys that only equal sets could share.
+    ``own`` tells whether the class is the set's own, ``need`` how many segments it must share
+    with a near set in this class. ``equal_sets=False`` drops keys that only equal sets could share.
     """
     t = exact(distance)
     lows, differs, segments = (list(c) for c in zip(*_classes(distance)))
     hashes = F.transform("tokens", lambda w: F.xxhash64(w))
-    sized = sets.select("id", F.size("tokens").alias("size"), F.sort_array(hashes).alias("hashes"))
-    below = F.filter(F.array(*[F.lit(v).cast("long") for v in lows]), lambda v: v <= F.col("size"))
+    sized = sets.select("id", set_size().alias("size"), F.sort_array(hashes).alias("hashes"))
+    below = F.filter(_constants(lows), lambda v: v <= F.col("size"))
     classed = (
         sized.withColumn("own", F.size(below))
         .withColumn("cls", F.explode(F.array("own", F.col("own") + 1)))
@@ -93,30 +101,32 @@ def segment_keys(sets: DataFrame, distance: float, equal_sets: bool = True) -> D
             smallest, lambda h: F.struct((-1 - h.bitwiseAND((1 << 62) - 1)).alias("seg"), h.alias("h"))
         ),
     )
-    exploded = classed.where(joins_own | joins_next).select(
-        "id", "size", "cls", F.explode(parts).alias("part")
+    need = (filled - F.col("differ")).cast("int")
+    ready = classed.where(joins_own | joins_next).select(
+        "id", "size", "cls", joins_own.alias("own"), need.alias("need"), parts.alias("parts")
     )
-    keyed = exploded.groupBy("id", "size", "cls", F.col("part.seg").alias("seg")).agg(
+    rows = exploded(ready, F.col("parts"), "part", "id", "size", "cls", "own", "need")
+    keyed = rows.groupBy("id", "size", "cls", "own", "need", F.col("part.seg").alias("seg")).agg(
         F.bit_xor("part.h").alias("key")
     )
-    in_order = Window.partitionBy("id", "size", "cls").orderBy("seg")
-    follows = F.lag("seg").over(in_order) == F.col("seg") - 1
-    return keyed.select(
-        "cls", "seg", "key", F.when(follows, F.lag("key").over(in_order)).alias("prev"), "id", "size"
-    )
+    return keyed.select("cls", "seg", "key", "id", "size", "own", "need")
 
 
 def _candidates(a: DataFrame, b: DataFrame, distance: float, same_table: bool, parts_a, parts_b) -> DataFrame:
-    left = a.select(*KEYS, *[F.col(c).alias(f"{c}_a") for c in ("prev", "id", "size")])
-    right = b.select(*KEYS, *[F.col(c).alias(f"{c}_b") for c in ("prev", "id", "size")])
-    begins_run = F.coalesce(F.col("prev_a") != F.col("prev_b"), F.lit(True))
-    condition = begins_run & size_bound(
+    left, right = (
+        keys.select(*KEYS, *[F.col(c).alias(f"{c}_{side}") for c in ("id", "size", "own", "need")])
+        for keys, side in ((a, "a"), (b, "b"))
+    )
+    condition = (F.col("own_a") | F.col("own_b")) & size_bound(
         F.col("size_a").cast("long"), F.col("size_b").cast("long"), distance
     )
     if same_table:
         condition = condition & (F.col("id_a") < F.col("id_b"))
     met = bucket_join(left, right, KEYS, condition, "id_a", "id_b", parts_a, parts_b)
-    return met.select("id_a", "id_b").distinct()
+    shared = met.groupBy("id_a", "id_b", F.greatest("need_a", "need_b").alias("need")).agg(
+        F.count(F.when(F.col("seg") >= 0, 1)).alias("shared")
+    )
+    return shared.where("shared >= need").select("id_a", "id_b")
 
 
 def exact_near_pairs(
@@ -126,16 +136,17 @@ def exact_near_pairs(
     distance: float,
     bucket_rows: int = BUCKET_ROWS,
     sample: float = SAMPLE,
+    sets_of: SetsOf = token_sets,
 ) -> DataFrame:
     """All pairs of different token sets of one table nearer than ``distance``.
 
     (id_a, id_b, distance, copies_a, copies_b) with id_a < id_b, each id the smallest of the rows
     holding that set; ``token_sets.copy_links`` gives the other rows.
     """
-    sets = distinct_sets(token_sets(df, id_col, text_col))
+    sets = distinct_sets(sets_of(df, id_col, text_col))
 
     def keys_of(part: DataFrame) -> DataFrame:
-        return segment_keys(distinct_sets(token_sets(part, id_col, text_col)), distance, False)
+        return segment_keys(distinct_sets(sets_of(part, id_col, text_col)), distance, False)
 
     large = sampled_large_buckets(df, keys_of, KEYS, bucket_rows, sample)
     keys = segment_keys(sets, distance, equal_sets=False)
@@ -152,15 +163,16 @@ def exact_near_pairs_between(
     distance: float,
     bucket_rows: int = BUCKET_ROWS,
     sample: float = SAMPLE,
+    sets_of: SetsOf = token_sets,
 ) -> DataFrame:
     """All pairs of a set of one table and a set of another nearer than ``distance``."""
     sides = []
     for df, id_col, text_col in ((df_a, id_a, text_a), (df_b, id_b, text_b)):
 
         def keys_of(part: DataFrame, id_col=id_col, text_col=text_col) -> DataFrame:
-            return segment_keys(distinct_sets(token_sets(part, id_col, text_col)), distance)
+            return segment_keys(distinct_sets(sets_of(part, id_col, text_col)), distance)
 
-        sets = distinct_sets(token_sets(df, id_col, text_col))
+        sets = distinct_sets(sets_of(df, id_col, text_col))
         large = sampled_large_buckets(df, keys_of, KEYS, bucket_rows, sample)
         sides.append((sets, segment_keys(sets, distance), large))
     (sets_a, keys_a, large_a), (sets_b, keys_b, large_b) = sides

@@ -23,10 +23,14 @@ from pyspark.sql import types as T
 MAX_GROUP_ROWS = 4_000_000
 MAX_CUTS = 100_000
 SLICE = "__slice"
+HOT = "__hot"
 
 
 class Slices:
-    """Rows with a slice number per key; ``hot`` tells whether any key was cut."""
+    """Rows with a slice number per key; ``hot`` tells whether any key was cut.
+
+    If so, the rows of the cut keys are marked in the column ``__hot``.
+    """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: bool):
         self.df = df
@@ -161,7 +165,9 @@ def slice_groups(
     position = _position(
         F.col("__cuts"), F.size("__cuts"), _tuple([F.col(c) for c in order]), steps
     )
-    sliced = joined.withColumn(
-        SLICE, F.when(F.col("__cuts").isNull(), 0).otherwise(position)
-    ).drop("__cuts")
+    sliced = (
+        joined.withColumn(HOT, F.col("__cuts").isNotNull())
+        .withColumn(SLICE, F.when(F.col(HOT), position).otherwise(0))
+        .drop("__cuts")
+    )
     return Slices(sliced, keys, order, True)

@@ -8,18 +8,46 @@ links, so a group of n copies costs n links and never n * n pairs.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from fractions import Fraction
 
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import token_set
 
 
-def token_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, tokens) of the rows with at least one token (any character that is not whitespace)."""
+def token_sets(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] = ()) -> DataFrame:
+    """(id, tokens) of the rows with at least one token; tokens in ``stop_words`` do not count."""
     texts = df.where(F.col(text_col).rlike(r"\S"))
-    return texts.select(F.col(id_col).alias("id"), token_set(F.col(text_col)).alias("tokens"))
+    found = token_set(F.col(text_col))
+    if not stop_words:
+        return texts.select(F.col(id_col).alias("id"), found.alias("tokens"))
+    kept = F.array_except(found, F.array(*[F.lit(w.lower()) for w in stop_words]))
+    return texts.select(F.col(id_col).alias("id"), kept.alias("tokens")).where(F.size("tokens") > 0)
+
+
+def hashed_sets(
+    df: DataFrame, id_col: str, text_col: str, features: int = 20, stop_words: Sequence[str] = ()
+) -> DataFrame:
+    """(id, tokens) where the tokens are the numbers of the hash buckets a text fills.
+
+    With few buckets different words fall together, so distances are those of hashed term
+    frequencies, not of the words themselves.
+    """
+    sets = token_sets(df, id_col, text_col, stop_words)
+    hashed = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=features).transform(sets)
+    filled = F.unwrap_udt("tf")["indices"]
+    return hashed.select("id", F.transform(filled, lambda i: i.cast("string")).alias("tokens"))
+
+
+SetsOf = Callable[[DataFrame, str, str], DataFrame]
+
+
+def set_size(tokens: str = "tokens") -> Column:
+    """Number of tokens, never NULL: a join would otherwise test it for NULL down at the scan."""
+    return F.coalesce(F.size(tokens), F.lit(0))
 
 
 def fingerprint(tokens: Column) -> Column:

@@ -34,7 +34,8 @@ def _projections(n: int, dim: int) -> list[Column]:
     out = []
     for row in range(1, n + 1):
         signs = [1.0 if bin(row & i).count("1") % 2 == 0 else -1.0 for i in range(dim)]
-        out.append(_dot(F.col("unit"), F.lit(signs)) / math.sqrt(dim))
+        constant = F.expr(f"array({', '.join(f'{x}D' for x in signs)})")
+        out.append(_dot(F.col("unit"), constant) / math.sqrt(dim))
     return out
 
 

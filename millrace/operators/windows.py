@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .slicing import MAX_GROUP_ROWS, SLICE, Slices, attach, slice_groups
+from .slicing import HOT, MAX_GROUP_ROWS, SLICE, Slices, attach, slice_groups
 
 
 def _sorted(order: Sequence[str], descending: bool) -> list[Column]:
@@ -23,15 +23,26 @@ def _before(by: Window) -> Window:
 
 
 def _slice_offsets(totals: DataFrame, keys: list[str], sums: Sequence[str], descending: bool) -> DataFrame:
-    """What the slices before hold, per key and slice. A window over slices, not over rows."""
+    """What the slices before hold, per key and slice of the cut keys.
+
+    A window over slices, not over rows. The result is as small as the cut points are few, so it
+    is broadcast and the rows stay where the windows put them.
+    """
     ahead = _before(Window.partitionBy(*keys).orderBy(*_sorted([SLICE], descending)))
-    return totals.select(
-        *keys,
-        SLICE,
-        *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"__ahead_{c}") for c in sums],
+    return F.broadcast(
+        totals.select(
+            *keys,
+            SLICE,
+            *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"__ahead_{c}") for c in sums],
+            *[F.sum(c).over(Window.partitionBy(*keys)).alias(f"__all_{c}") for c in sums],
+        )
     )
 
 
+def _ahead(column: str) -> Column:
+    return F.coalesce(f"__ahead_{column}", F.lit(0))
+
+
 RANKS = ("rank", "dense_rank", "percent_rank", "running_sum")
 
 
@@ -71,29 +82,31 @@ def rank_within(
         return df.select("*", *[plain[kind]().alias(name) for kind, name in wanted.items()])
 
     held = F.sum(sum_of) if sum_of else F.lit(None).cast("long")
-    values = sliced.df.groupBy(*sliced.parts, order).agg(
+    values = sliced.df.groupBy(*sliced.parts, HOT, order).agg(
         F.count("*").alias("__n"), held.alias("__s")
     )
-    totals = values.groupBy(*sliced.parts).agg(
+    totals = values.where(HOT).groupBy(*sliced.parts).agg(
         F.sum("__n").alias("__n"), F.count("*").alias("__d"), F.sum("__s").alias("__s")
     )
-    sizes = totals.groupBy(*keys).agg(F.sum("__n").alias("__size"))
-    offsets = attach(_slice_offsets(totals, keys, ["__n", "__d", "__s"], descending), sizes, keys)
-    by = Window.partitionBy(*sliced.parts).orderBy(*_sorted([order], descending))
+    offsets = _slice_offsets(totals, keys, ["__n", "__d", "__s"], descending)
+    part = Window.partitionBy(*sliced.parts)
+    by = part.orderBy(*_sorted([order], descending))
     local = values.select(
         *sliced.parts,
         order,
+        F.sum("__n").over(part).alias("__size"),
         F.coalesce(F.sum("__n").over(_before(by)), F.lit(0)).alias("__n0"),
         F.row_number().over(by).alias("__d0"),
         F.sum("__s").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__s0"),
     )
-    placed = attach(local, offsets, sliced.parts)
-    rank = F.col("__ahead___n") + F.col("__n0") + 1
+    placed = attach(local, offsets, sliced.parts, "left")
+    rank = _ahead("__n") + F.col("__n0") + 1
+    size = F.coalesce("__all___n", "__size")
     formula = {
         "rank": rank.cast("int"),
-        "dense_rank": (F.col("__ahead___d") + F.col("__d0")).cast("int"),
-        "percent_rank": F.when(F.col("__size") > 1, (rank - 1) / (F.col("__size") - 1)).otherwise(0.0),
-        "running_sum": F.col("__ahead___s") + F.coalesce(F.col("__s0"), F.lit(0)),
+        "dense_rank": (_ahead("__d") + F.col("__d0")).cast("int"),
+        "percent_rank": F.when(size > 1, (rank - 1) / (size - 1)).otherwise(0.0),
+        "running_sum": _ahead("__s") + F.coalesce(F.col("__s0"), F.lit(0)),
     }
     ranks = placed.select(
         *keys, order, *[formula[kind].alias(name) for kind, name in wanted.items()]
@@ -121,10 +134,10 @@ def _numbered(sliced: Slices, columns: list[str], name: str, descending: bool) -
     local = sliced.df.withColumn(name, F.row_number().over(by).cast("long"))
     if not sliced.hot:
         return local.select(*columns, name)
-    totals = sliced.df.groupBy(*sliced.parts).agg(F.count("*").alias("__n"))
+    totals = sliced.df.where(HOT).groupBy(*sliced.parts).agg(F.count("*").alias("__n"))
     offsets = _slice_offsets(totals, sliced.keys, ["__n"], descending)
-    placed = attach(local, offsets, sliced.parts)
-    return placed.withColumn(name, F.col(name) + F.col("__ahead___n")).select(*columns, name)
+    placed = attach(local, offsets, sliced.parts, "left")
+    return placed.withColumn(name, F.col(name) + _ahead("__n")).select(*columns, name)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, name: str = "row") -> DataFrame:
@@ -148,10 +161,10 @@ def running_total(
     local = sliced.df.withColumn(name, F.sum("__v").over(so_far))
     if not sliced.hot:
         return local.select(*df.columns, name)
-    totals = sliced.df.groupBy(*sliced.parts).agg(F.sum("__v").alias("__v"))
+    totals = sliced.df.where(HOT).groupBy(*sliced.parts).agg(F.sum("__v").alias("__v"))
     offsets = _slice_offsets(totals, sliced.keys, ["__v"], False)
-    placed = attach(local, offsets, sliced.parts)
-    return placed.withColumn(name, F.col(name) + F.col("__ahead___v")).select(*df.columns, name)
+    placed = attach(local, offsets, sliced.parts, "left")
+    return placed.withColumn(name, F.col(name) + _ahead("__v")).select(*df.columns, name)
 
 
 def moving_average(
@@ -175,7 +188,7 @@ def moving_average(
         return sliced.df.select(*df.columns, F.avg(value).over(by).alias(name))
 
     rows = sliced.df.withColumn("__own", F.lit(True))
-    slim = sliced.df.select(*dict.fromkeys([*sliced.parts, *order, value]))
+    slim = sliced.df.where(HOT).select(*dict.fromkeys([*sliced.parts, *order, value]))
     cut_keys = slim.select(*sliced.parts).distinct()
     line = Window.partitionBy(*sliced.keys).orderBy(SLICE)
     halos = []
@@ -189,7 +202,7 @@ def moving_average(
         targets = cut_keys.select(
             *sliced.parts, F.array(*[step(SLICE, i).over(line) for i in range(1, reach + 1)]).alias("__to")
         )
-        copies = attach(edge, targets, sliced.parts)
+        copies = attach(edge, F.broadcast(targets), sliced.parts)  # one row per slice of a cut key
         copies = copies.withColumn(SLICE, F.explode(F.filter("__to", lambda t: t.isNotNull())))
         halos.append(copies.select(*slim.columns))
     extended = rows

@@ -28,7 +28,7 @@ def prepare(trips: DataFrame, legacy: bool = False) -> DataFrame:
     ends = ("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
     paid = trips.where(F.col("label") > 0)
     measured = paid.withColumn("distance", measure(*[F.col(c) for c in ends]))
-    moved = measured.where(~F.isnan("distance") & (F.col("distance") > 0))
+    moved = measured.where(F.col("distance") > 0)  # the distances are never NaN
     return moved.withColumn("hour", F.hour(F.col("pickup_datetime").try_cast("timestamp_ntz")))
 
 

@@ -38,7 +38,7 @@ def chat_records(spark, sf):
         concat({_HEADER_SQL}, ' - ', role, ': ', text) AS value FROM timed""",
 )
 def chat_fold(spark, sf):
-    return chat_records(spark, sf)
+    return chat_records(spark, sf).select("conv_id", "record", "value")
 
 
 @query(

@@ -7,8 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+TYPES = {
+    "STRING": T.StringType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
 def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """A schema from "name TYPE, ..." without needing a session."""
+    fields = (field.split() for field in spec.split(","))
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in fields])
 
 
 PERSON = _schema(
