@@ -35,11 +35,10 @@ def fold_lines(
     """
     keys = [*file_cols, "record"]
     marked = running_total(lines, file_cols, order, C.starts_record(F.col(line_col)).cast("int"), "record", max_rows)
-    # at most rows / max_lines records are that long
-    long = marked.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > max_lines)
-    long = long.select(*keys).collect()
+    long = _long_records(lines, marked, file_cols, keys, max_lines)
     if long:
         spark = lines.sparkSession
+        # bounded: rows / max_lines records at most
         named = spark.createDataFrame(long, marked.select(*keys).schema).withColumn("__long", F.lit(True))
         known = attach(marked, F.broadcast(named), keys, "left")
         short_lines = known.where("__long IS NULL").withColumn("part", F.lit(0).cast("long"))
@@ -53,6 +52,23 @@ def fold_lines(
     return grouped.select(*keys, "part", F.array_join("__p.__line", joiner).alias("value"))
 
 
+def _long_records(
+    lines: DataFrame, marked: DataFrame, file_cols: Sequence[str], keys: Sequence[str], max_lines: int
+) -> list:
+    """Keys of the records with more than ``max_lines`` lines: at most rows / max_lines of them.
+
+    Only a file with that many lines can hold one, so the files are counted first.
+    """
+    sizes = lines.groupBy(*file_cols).agg(F.count("*").alias("__n")).where(F.col("__n") > max_lines)
+    large_files = sizes.drop("__n").collect()
+    if not large_files:
+        return []
+    chosen = lines.sparkSession.createDataFrame(large_files, sizes.drop("__n").schema)
+    inside = attach(marked, F.broadcast(chosen), file_cols)
+    counts = inside.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > max_lines)
+    return counts.select(*keys).collect()
+
+
 def parse_records(records: DataFrame, value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """(keep, header, timestamp, name, msg) of records; text after a second border is kept.
 

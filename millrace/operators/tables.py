@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
-    """A table of rows written in the program."""
-    return spark.createDataFrame(list(rows), schema)
+    """A table of rows written in the program. Made from Arrow, so that its size is known to the
+    planner."""
+    named = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(named, to_arrow_schema(schema)), schema)
 
 
 def add_constant(df: DataFrame, name: str, value: object) -> DataFrame:

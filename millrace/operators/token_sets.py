@@ -51,8 +51,9 @@ def set_size(tokens: str = "tokens") -> Column:
 
 
 def fingerprint(tokens: Column) -> Column:
-    """A 32-character digest that is equal for equal sets (tokens hold no blanks)."""
-    return F.md5(F.array_join(F.sort_array(tokens), " "))
+    """A 32-character digest that is equal for equal sets (tokens hold no blanks); never NULL, for
+    the same reason as ``set_size``."""
+    return F.coalesce(F.md5(F.array_join(F.sort_array(tokens), " ")), F.lit(""))
 
 
 def copy_links(sets: DataFrame) -> DataFrame:

@@ -28,26 +28,24 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def _projections(n: int, dim: int) -> list[Column]:
-    """Products with n rows of a Walsh matrix: signs by the parity of common bits, at right angles
+def _directions(n: int, dim: int) -> str:
+    """n rows of a Walsh matrix as a constant: signs by the parity of common bits, at right angles
     to each other when ``dim`` is a power of two."""
-    out = []
-    for row in range(1, n + 1):
-        signs = [1.0 if bin(row & i).count("1") % 2 == 0 else -1.0 for i in range(dim)]
-        constant = F.expr(f"array({', '.join(f'{x}D' for x in signs)})")
-        out.append(_dot(F.col("unit"), constant) / math.sqrt(dim))
-    return out
+    rows = [
+        ", ".join("1D" if bin(row & i).count("1") % 2 == 0 else "-1D" for i in range(dim))
+        for row in range(1, n + 1)
+    ]
+    return "array(" + ", ".join(f"array({row})" for row in rows) + ")"
 
 
 def placed_vectors(vectors: DataFrame, dim: int, projections: int) -> DataFrame:
     """(id, p0, p1, ...): coordinates of the unit vectors along the directions."""
-    norm = F.sqrt(_dot(F.col("v"), F.col("v")))
-    unit = vectors.withColumn("norm", norm).select(
-        "id", F.transform("v", lambda x: x / F.col("norm")).alias("unit")
-    )
-    cut = F.array(*_projections(projections, dim))
-    # one array first, so that every product is computed once
-    return unit.select("id", F.explode(F.array(cut)).alias("p")).select(
+    dot = "aggregate(zip_with(v, d, (x, y) -> x * y), 0D, (s, x) -> s + x)"
+    # unit vector and unit direction: divide by both lengths
+    length = f"(sqrt(aggregate(v, 0D, (s, x) -> s + x * x)) * {math.sqrt(dim)!r}D)"
+    cut = f"transform({_directions(projections, dim)}, d -> {dot} / {length})"
+    # exploded as one array, so that every product is computed once
+    return vectors.select("id", F.expr(f"explode(array({cut}))").alias("p")).select(
         "id", *[F.col("p")[i].alias(f"p{i}") for i in range(projections)]
     )
 
@@ -102,8 +100,8 @@ def near_vectors(
     left = rows_a.select(*cells, F.col("id").alias("id_a"), *[F.col(p).alias(f"{p}_a") for p in coords])
     right = rows_b.select(*cells, F.col("id").alias("id_b"), *[F.col(p).alias(f"{p}_b") for p in coords])
     if square:
-        apart = sum((F.pow(F.col(f"{p}_a") - F.col(f"{p}_b"), F.lit(2)) for p in coords), F.lit(0.0))
-        close = apart <= eps * eps
+        apart = " + ".join(f"({p}_a - {p}_b) * ({p}_a - {p}_b)" for p in coords)
+        close = F.expr(apart) <= eps * eps
     else:
         close = F.lit(True)
         for p in coords:

@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.functions import geo, labels
@@ -74,15 +75,14 @@ def test_distances(spark):
 
 
 def test_append_and_upsert(spark):
-    base = tables.literal_rows(spark, [(1, "a"), (2, "b"), (None, "n")], base_schema := "id int, v string")
-    more = tables.literal_rows(spark, [("B", 2), ("c", 3)], "v string, id int")
+    base = tables.literal_rows(spark, [(1, "a"), (2, "b"), (None, "n")], T.StructType.fromDDL("id int, v string"))
+    more = tables.literal_rows(spark, [("B", 2), ("c", 3)], T.StructType.fromDDL("v string, id int"))
     assert sorted(map(repr, map(tuple, tables.append_rows(base, more).collect()))) == sorted(
         map(repr, [(1, "a"), (2, "b"), (None, "n"), (2, "B"), (3, "c")])
     )
     assert {tuple(r) for r in tables.upsert_rows(base, more, ["id"]).collect()} == {
         (1, "a"), (2, "B"), (3, "c"), (None, "n")
     }
-    assert base_schema
 
 
 def test_arranged_rows_are_sorted_and_together(spark):

@@ -27,8 +27,7 @@ def as_set(df, *cols):
     return sorted(map(tuple, df.select(*cols).collect()), key=repr)
 
 
-@pytest.mark.parametrize("descending", [True, False])
-@pytest.mark.parametrize("keys", [["key"], []])
+@pytest.mark.parametrize("keys,descending", [(["key"], True), ([], False)])
 def test_ranks_equal_plain_windows(rows, keys, descending):
     wanted = {"rank": "r", "dense_rank": "d", "percent_rank": "p", "running_sum": "s"}
     order = F.col("level").desc() if descending else F.col("level").asc()
@@ -43,8 +42,10 @@ def test_ranks_equal_plain_windows(rows, keys, descending):
         assert as_set(got, "id", "r", "d", "p", "s") == as_set(expected, "id", "r", "d", "p", "s")
 
 
-@pytest.mark.parametrize("keys,order", [([], ["id"]), (["key"], ["id"]), (["key"], ["level", "id"])])
-@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize(
+    "keys,order,descending",
+    [([], ["id"], False), (["key"], ["id"], True), (["key"], ["level", "id"], False), ([], ["level", "id"], True)],
+)
 def test_row_numbers(rows, keys, order, descending):
     cols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     expected = rows.select("id", F.row_number().over(Window.partitionBy(*keys).orderBy(*cols)).alias("n"))
@@ -58,9 +59,10 @@ def test_slices_are_bounded_even_under_a_heavy_value(rows):
     assert sum(sizes) == rows.count() and max(sizes) <= 60
 
 
-@pytest.mark.parametrize("before,after", [(1, 1), (2, 0), (0, 3)])
-@pytest.mark.parametrize("keys", [["key"], []])
-@pytest.mark.parametrize("max_rows", [3, 25, 10_000])
+@pytest.mark.parametrize(
+    "keys,before,after,max_rows",
+    [(["key"], 1, 1, 25), ([], 1, 1, 3), (["key"], 2, 0, 3), ([], 0, 3, 25), (["key"], 2, 0, 10_000)],
+)
 def test_moving_average(rows, keys, before, after, max_rows):
     by = Window.partitionBy(*keys).orderBy("id").rowsBetween(-before, after)
     expected = rows.select("id", F.round(F.avg("amount").over(by), 6).alias("m"))
