@@ -2,8 +2,8 @@
 
 A token is hashed once; hash i of a set is the smallest (a_i * h + b_i) mod p over its tokens.
 Signatures are one aggregate of native minimums, combined before the shuffle. Sets that agree in
-all rows of a band are candidates, and every candidate is checked on its tokens, so a result is
-never wrong; a pair at the threshold is missed with the probability ``miss_rate`` gives.
+all rows of a band are candidates unless their sizes or 256-bit sketches rule the pair out, and
+every candidate is checked on its tokens, so a result is never wrong; a pair at the threshold is missed with the probability ``miss_rate`` gives.
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import exploded
 from .buckets import BUCKET_ROWS, SAMPLE, bucket_join, sampled_large_buckets
-from .token_sets import SetsOf, distinct_sets, near_pairs, set_size, size_bound, token_sets
+from .token_sets import SetsOf, difference_bound, distinct_sets, near_pairs, set_size, size_bound, token_sets
 
 PRIME = (1 << 31) - 1
 SEED = 7
 MAX_HASHES = 64
+SKETCH = 4
 KEYS = ["band", "key"]
 
 
@@ -53,36 +54,57 @@ def token_hash(token: Column) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("long"), F.lit(PRIME))
 
 
-def signatures(sets: DataFrame, n: int, seed: int = SEED) -> DataFrame:
-    """(id, size, m0 ... m(n-1)) of non-empty sets of (id, tokens)."""
+def _sketch_columns() -> list[Column]:
+    """Parity bits: every token flips one of 256 bits. Two sets differ in at least as many tokens
+    as bits of their sketches differ."""
+    return [
+        F.expr(f"bit_xor(if((h >> 6) % {SKETCH} = {i}, shiftleft(1L, cast(h % 64 AS INT)), 0L)) AS s{i}")
+        for i in range(SKETCH)
+    ]
+
+
+def signatures(sets: DataFrame, n: int, seed: int = SEED, sketch: bool = False) -> DataFrame:
+    """(id, size, m0 ... m(n-1)) of non-empty sets of (id, tokens), with the sketch if wanted."""
     sized = sets.select("id", set_size().alias("size"), "tokens")
-    hashed = exploded(sized, F.col("tokens"), "token", "id", "size").select("id", "size", token_hash(F.col("token")).alias("h"))
+    hashed = exploded(sized, F.col("tokens"), "token", "id", "size").select(
+        "id", "size", token_hash(F.col("token")).alias("h")
+    )
     # written as SQL text: dozens of columns are built much faster from it than call by call
     smallest = [
         F.expr(f"min(({a} * h + {b}) % {PRIME}) AS m{i}") for i, (a, b) in enumerate(coefficients(n, seed))
     ]
-    return hashed.groupBy("id", "size").agg(*smallest)
+    return hashed.groupBy("id", "size").agg(*smallest, *(_sketch_columns() if sketch else []))
 
 
 def band_keys(sets: DataFrame, bands: int, rows: int, seed: int = SEED) -> DataFrame:
-    """(band, key, id, size): one bucket row per set and band."""
-    signed = signatures(sets, bands * rows, seed)
+    """(band, key, id, size, s0 ... s3): one bucket row per set and band, with the set's sketch."""
+    signed = signatures(sets, bands * rows, seed, sketch=True)
     keys = [
         f"named_struct('band', {b}, 'key', xxhash64({', '.join(f'm{b * rows + r}' for r in range(rows))}))"
         for b in range(bands)
     ]
-    return signed.select("id", "size", F.expr(f"explode(array({', '.join(keys)}))").alias("k")).select(
-        "k.band", "k.key", "id", "size"
+    carried = ["id", "size", *[f"s{i}" for i in range(SKETCH)]]
+    return signed.select(*carried, F.expr(f"explode(array({', '.join(keys)}))").alias("k")).select(
+        "k.band", "k.key", *carried
     )
 
 
 def candidates(
     keys_a: DataFrame, keys_b: DataFrame, distance: float, same_table: bool, parts_a=None, parts_b=None
 ) -> DataFrame:
-    """(id_a, id_b) of sets that share a band and whose sizes allow the distance."""
-    left = keys_a.select(*KEYS, F.col("id").alias("id_a"), F.col("size").alias("size_a"))
-    right = keys_b.select(*KEYS, F.col("id").alias("id_b"), F.col("size").alias("size_b"))
-    condition = size_bound(F.col("size_a").cast("long"), F.col("size_b").cast("long"), distance)
+    """(id_a, id_b) of sets that share a band and whose sizes and sketches allow the distance.
+
+    Both tests only drop pairs that cannot be near, and do so inside the join, so a full bucket
+    gives out little more than its near pairs.
+    """
+    sketch = [f"s{i}" for i in range(SKETCH)]
+    left, right = (
+        keys.select(*KEYS, *[F.col(c).alias(f"{c}_{side}") for c in ("id", "size", *sketch)])
+        for keys, side in ((keys_a, "a"), (keys_b, "b"))
+    )
+    sizes = F.col("size_a").cast("long"), F.col("size_b").cast("long")
+    differing = F.expr(" + ".join(f"bit_count({s}_a ^ {s}_b)" for s in sketch))
+    condition = size_bound(*sizes, distance) & difference_bound(*sizes, differing, distance)
     if same_table:
         condition = condition & (F.col("id_a") < F.col("id_b"))
     met = bucket_join(left, right, KEYS, condition, "id_a", "id_b", parts_a, parts_b)

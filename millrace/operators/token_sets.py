@@ -90,6 +90,12 @@ def size_bound(size_a: Column, size_b: Column, distance: float) -> Column:
     return (size_a * t.denominator > size_b * kept) & (size_b * t.denominator > size_a * kept)
 
 
+def difference_bound(size_a: Column, size_b: Column, differing: Column, distance: float) -> Column:
+    """False where sets known to differ in at least ``differing`` tokens cannot be near."""
+    t = exact(distance)
+    return differing * (2 * t.denominator - t.numerator) < (size_a + size_b) * t.numerator
+
+
 def near_pairs(candidates: DataFrame, sets_a: DataFrame, sets_b: DataFrame, distance: float) -> DataFrame:
     """(id_a, id_b, distance, copies_a, copies_b) of the candidates strictly below the threshold."""
     t = exact(distance)

@@ -104,5 +104,5 @@ def src_delimited(spark, sf):
     text = F.trim(F.regexp_replace(X.clean_text(F.col("text")), r"\s+", " "))
     path = scratch_path(spark, "src_delimited")
     write_lines(feed_lines(documents(spark, sf), F.col("lang"), text), path)
-    back = read_delimited(spark, f"{path}/*", LABELLED_TEXT, sep="=")
+    back = read_delimited(spark, path, LABELLED_TEXT, sep="=")
     return back.select(F.trim("label1").alias("label1"), F.trim("description").alias("description"))

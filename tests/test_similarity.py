@@ -67,10 +67,10 @@ def texts(spark):
 
 
 @pytest.mark.parametrize("distance", [0.1, 0.2, 0.5])
-@pytest.mark.parametrize("bucket_rows", [5, 20_000])
-def test_exact_join_finds_every_pair(texts, distance, bucket_rows):
+@pytest.mark.parametrize("bucket_rows,sample", [(5, 1.0), (10, 0.5), (20_000, 0.01)])
+def test_exact_join_finds_every_pair(texts, distance, bucket_rows, sample):
     rows, df = texts
-    found = segment_join.exact_near_pairs(df, "id", "text", distance, bucket_rows, sample=1.0)
+    found = segment_join.exact_near_pairs(df, "id", "text", distance, bucket_rows, sample)
     assert pairs(found) == brute(rows, rows, distance, True)
 
 
@@ -98,6 +98,18 @@ def test_large_buckets_do_not_change_the_minhash_result(texts):
     assert plain == cut
 
 
+def test_sketches_drop_no_near_pair(texts):
+    rows, df = texts
+    sets = distinct_sets(token_sets(df, "id", "text"))
+    signed = minhash.signatures(sets, 1, sketch=True).drop("m0").collect()
+    bits = {r["id"]: [r[f"s{i}"] & (2**64 - 1) for i in range(minhash.SKETCH)] for r in signed}
+    words = {r["id"]: set(r["tokens"]) for r in sets.collect()}
+    for i in words:
+        for j in words:
+            differing = sum((x ^ y).bit_count() for x, y in zip(bits[i], bits[j]))
+            assert differing <= len(words[i] ^ words[j])
+
+
 def test_miss_rate_of_chosen_bands():
     for distance in (0.05, 0.1, 0.2, 0.3):
         bands, rows = minhash.choose_bands(distance)
@@ -114,6 +126,7 @@ def test_copies_are_links_not_pairs(spark):
 
 
 def test_six_sentences_over_twenty_hash_buckets(spark):
+    # Sentences whose distances over 20 buckets are known.
     a = ["Hi I heard about Spark", "I wish Java could use case classes", "Logistic regression models are neat"]
     b = ["hi i heard about spark", "I wish if scala could be use jvm", "machine learning models are neat "]
     df_a = spark.createDataFrame(list(enumerate(a)), "id bigint, sentence string")
