@@ -111,7 +111,7 @@ def test_sketches_drop_no_near_pair(texts):
 
 
 def test_miss_rate_of_chosen_bands():
-    for distance in (0.05, 0.1, 0.2, 0.3):
+    for distance in (0.05, 0.1, 0.2, 0.3, 0.4, 0.5):
         bands, rows = minhash.choose_bands(distance)
         assert bands * rows <= minhash.MAX_HASHES and minhash.miss_rate(distance, bands, rows) <= 0.001
 
