@@ -1,8 +1,10 @@
-"""Queries over documents: near-duplicates."""
+"""Queries over documents: near-duplicates, token ids."""
 
 from __future__ import annotations
 
-from . import minhash_lsh
+import public_tokenizers
+
+from . import minhash_lsh, trie_bpe
 from .catalog import query, table
 
 SHINGLE_WORDS = 2
@@ -29,3 +31,13 @@ SIMILARITY = 0.8
 )
 def op7_minhash_lsh(spark, sf):
     return minhash_lsh.near_duplicates(table(spark, sf, "documents"), SHINGLE_WORDS, SIMILARITY)
+
+
+def vocabulary_path() -> str:
+    """The vocabulary file of the token queries."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op9_trie_bpe")
+def op9_trie_bpe(spark, sf):
+    return trie_bpe.digest_documents(table(spark, sf, "documents"), vocabulary_path())
