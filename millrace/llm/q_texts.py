@@ -1,16 +1,21 @@
-"""Queries over documents: near-duplicates, token ids."""
+"""Queries over documents: languages, near-duplicates, token ids."""
 
 from __future__ import annotations
 
 import public_tokenizers
 
-from . import minhash_lsh, trie_bpe
+from . import lang_id, minhash_lsh, trie_bpe
 from .catalog import query, table
 
 SHINGLE_WORDS = 2
 SIMILARITY = 0.8
 
 
+@query("op1_lang_id")
+def op1_lang_id(spark, sf):
+    return lang_id.identify(table(spark, sf, "documents")).drop("spans")
+
+
 @query(
     "op7_minhash_lsh",
     rf"""WITH RECURSIVE t AS (SELECT doc_id, list_filter(string_split_regex(
