@@ -1,14 +1,19 @@
-"""Queries over web pages: archives."""
+"""Queries over web pages: main text, archives."""
 
 from __future__ import annotations
 
 from ..session import scratch_path
-from . import warc
+from . import templates, warc
 from .catalog import query, table
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
+@query("op6_templates")
+def op6_templates(spark, sf):
+    return templates.extract_text(table(spark, sf, "pages"))
+
+
 @query(
     "op8_warc",
     f"""WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(encode(coalesce(html, ''))) AS h FROM pages),
