@@ -14,6 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The scripts told apart, by their Unicode names; other letters are one more.
 SCRIPTS = [
@@ -205,12 +206,12 @@ def train(docs: DataFrame) -> Model:
     return Model(langs, scores.astype(np.float32), allowed, int(scripts.sum(axis=1).argmax()) if langs else -1)
 
 
-def _labeller(tables, shared, schema):
+def _labeller(tables, shared, found_fields, without_text: bool):
     def label(batches):
         script, lower = tables.value
         model = Model(**shared.value)
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
+            texts = [t or "" for t in batch.column("text").to_pylist()]
             for first, last in _portions(texts, BATCH_CHARS):
                 found = _Letters(texts[first:last], script, lower)
                 labels = model.spans(found) if model.langs else np.zeros(len(found.first), np.int64)
@@ -218,7 +219,7 @@ def _labeller(tables, shared, schema):
                 for i in range(last - first):
                     a, b = found.bounds[i], found.bounds[i + 1]
                     if a == b or not model.langs:
-                        rows.append((ids[first + i], UNKNOWN, 0.0, []))
+                        rows.append((UNKNOWN, 0.0, []))
                         continue
                     own, length = labels[a:b], found.length[a:b]
                     letters = np.bincount(own, length, minlength=len(model.langs))
@@ -233,31 +234,32 @@ def _labeller(tables, shared, schema):
                         {"start": int(start[o]), "stop": int(start[c] + length[c]), "lang": model.langs[own[o]]}
                         for o, c in zip(opens, closes)
                     ]
-                    rows.append((ids[first + i], model.langs[best], float(min(1.0, letters[best] / length.sum())), spans))
-                columns = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
+                    rows.append((model.langs[best], float(min(1.0, letters[best] / length.sum())), spans))
+                kept = batch.slice(first, last - first).drop_columns(["text"] if without_text else [])
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), found_fields)]
+                yield pa.RecordBatch.from_arrays([*kept.columns, *columns], schema=pa.schema([*kept.schema, *found_fields]))
 
     return label
 
 
-def label_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang_pred, score, spans) of every row of ``docs`` (doc_id, text).
+def label_documents(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
+    """The columns of ``docs`` (text and others; without text unless ``keep_text``), lang_pred, score and spans.
 
     ``spans`` (start, stop, lang; code points) are the runs of words of one language in order,
     ``lang_pred`` the language with most letters (of equal ones the first by name) and ``score`` its share
     of the letters. A NULL text and one without a letter give ``und`` with score 0 and no span, as does
     every text where the model knows no language; a text only in scripts that no language uses gets the most frequent
-    language with a score near 0. Repeated rows and NULL ids stay as they are; an empty table gives no
-    rows; other columns are not looked at.
+    language with a score near 0. Every row gives one row, repeated ones too; an empty table gives no rows.
+    Columns of ``docs`` that bear the name of a result are replaced.
     """
     context = docs.sparkSession.sparkContext
     tables, shared = context.broadcast(letter_tables()), context.broadcast(vars(model))
     span = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lang", pa.string())])
-    schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("spans", pa.list_(span))])
-    return docs.select("doc_id", "text").mapInArrow(
-        _labeller(tables, shared, schema),
-        "doc_id bigint, lang_pred string, score double, spans array<struct<start:bigint,stop:bigint,lang:string>>",
-    )
+    fields = [pa.field("lang_pred", pa.string()), pa.field("score", pa.float64()), pa.field("spans", pa.list_(span))]
+    docs = docs.drop(*[f.name for f in fields])
+    found = T._parse_datatype_string("lang_pred string, score double, spans array<struct<start:bigint,stop:bigint,lang:string>>")
+    kept = [f for f in docs.schema if keep_text or f.name != "text"]
+    return docs.mapInArrow(_labeller(tables, shared, fields, not keep_text), T.StructType([*kept, *found]))
 
 
 def held_out(doc_id: str) -> Column:
@@ -269,4 +271,4 @@ def identify(docs: DataFrame) -> DataFrame:
     """``label_documents`` with ``held_out``, by a model of the rows of ``docs`` that are not held out."""
     out = held_out("doc_id")
     model = train(docs.where(~out).select("text", "lang"))
-    return label_documents(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score", "spans")
+    return label_documents(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "lang_pred", "score", "spans")

@@ -1,14 +1,17 @@
-"""Queries over documents: languages, near-duplicates, token ids."""
+"""Queries over documents: languages, near-duplicates, token ids, mixing."""
 
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from . import lang_id, minhash_lsh, trie_bpe
+from . import lang_id, minhash_lsh, soft_mix, trie_bpe
 from .catalog import query, table
 
 SHINGLE_WORDS = 2
 SIMILARITY = 0.8
+#: Shares of the tokens that the mixture is to have from each domain of the labels.
+MIXTURE = {"clean": 0.85, "junk": 0.15, "toxic": 0.0}
 
 
 @query("op1_lang_id")
@@ -46,3 +49,14 @@ def vocabulary_path() -> str:
 @query("op9_trie_bpe")
 def op9_trie_bpe(spark, sf):
     return trie_bpe.digest_documents(table(spark, sf, "documents"), vocabulary_path())
+
+
+def domains(labels):
+    """(doc_id, domain): toxic, else by quality."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "junk")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+@query("op10_soft_mix")
+def op10_soft_mix(spark, sf):
+    return soft_mix.mix(table(spark, sf, "documents"), domains(table(spark, sf, "labels")), MIXTURE)
