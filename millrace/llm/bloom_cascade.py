@@ -66,6 +66,14 @@ def _level(keys: DataFrame, count: int, rate: float, seed: int) -> Level:
     return Level(seed, bits, hashes, filled)
 
 
+def screen(keys: DataFrame, count: int, max_bytes: int) -> Level:
+    """One filter for the ``count`` rows of a one-column table ``key``, of at most ``max_bytes``.
+
+    It lets every key through, and few others while the bound allows some ten bits a key.
+    """
+    return _level(keys, min(count, int(max_bytes * 8 * math.log(2) / 7)), 1 / 128, 0)
+
+
 def first_rate(listed: int, universe: int) -> float:
     """Rate of level 1 at which the levels together are smallest."""
     others = max(1, universe - listed)

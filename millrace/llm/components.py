@@ -22,6 +22,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def partial(edges: DataFrame) -> DataFrame:
+    """(node, label) after one large-star and one small-star step: nodes of one label are connected.
+
+    Connected nodes may still bear different labels. A label is a node that is no larger; nodes that
+    are their own label have no row.
+    """
+    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return _small_star(_large_star(now)).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
+
+
 def _state(edges: DataFrame):
     return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 

@@ -3,26 +3,32 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom_cascade import screen
 from .common import settle
-from .components import components
+from .components import components, partial
 from .words import SPACED, Words, chunks, mix, shingles
 
 #: Bands and minima in each: a pair at similarity 0.8 meets in no band with probability 3e-6.
 BANDS, ROWS = 32, 5
 #: Standard deviations that a signature's estimate may stay below the threshold.
-SLACK = 6.0
-#: Pairs, as a multiple of the bucket rows, that are few enough to be compared one by one.
-FEW = 4
-#: Rounds of new leaders before the remaining pairs are compared whatever their number.
-LEADER_ROUNDS = 6
+SLACK = 5.0
+#: Rounds of leaders: the smallest id of each bucket, then others drawn by bucket.
+LEADER_ROUNDS = 2
+#: Minima of the longer signature that tells what is left in buckets apart, and standard deviations it may fall short.
+LONG, LONG_SLACK = 1024, 4.5
+#: Rows of a bucket from which pairs are looked for in blocks, and rows of a block.
+LARGE, BLOCK = 8, 2048
+#: Bytes of the filter that spares texts without candidates a shuffle.
+SCREEN_BYTES = 4 << 20
 
 
-def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
-    random = np.random.default_rng(1)
+def _coefficients(n: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    random = np.random.default_rng(seed)
     high = np.iinfo(np.uint64).max
     return random.integers(1, high, n, np.uint64) | np.uint64(1), random.integers(0, high, n, np.uint64)
 
@@ -86,6 +92,58 @@ def _set_maker(size: int):
     return sets_of
 
 
+def _long_signer():
+    """The low bytes of many minima of each set."""
+    a, b = _coefficients(LONG, 2)
+
+    def sign(batches):
+        for batch in batches:
+            column = batch.column("shingles")
+            bounds = column.offsets.to_numpy().astype(np.int64)
+            found = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            out = np.zeros((batch.num_rows, LONG), np.uint8)
+            row = 0
+            while row < batch.num_rows:  # as many sets at once as stay in the cache
+                stop = max(row + 1, int(np.searchsorted(bounds, bounds[row] + (1 << 16), "right")) - 1)
+                x = found[bounds[row] : bounds[stop]] >> np.uint64(32)
+                starts = bounds[row:stop] - bounds[row]
+                buffer = np.empty_like(x)
+                for i in range(LONG):
+                    np.multiply(x, a[i], out=buffer)
+                    np.add(buffer, b[i], out=buffer)
+                    out[row:stop, i] = np.minimum.reduceat(buffer, starts) >> np.uint64(32)
+                row = stop
+            yield pa.RecordBatch.from_pydict({"doc": batch.column("doc"), "long": pa.array([r.tobytes() for r in out], pa.binary())})
+
+    return sign
+
+
+def _apart(least: int, first_least: int):
+    """Pairs of a bucket's block that bear different labels and whose long signatures agree enough."""
+
+    def pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
+        low, high = int(key[-2]), int(key[-1])
+        signatures = np.frombuffer(b"".join(rows["long"]), np.uint8).reshape(len(rows), -1)
+        docs, labels, block = rows["doc"].to_numpy(), rows["label"].to_numpy(), rows["block"].to_numpy()
+        start = np.ascontiguousarray(signatures[:, : LONG // 8])
+        common = pd.Series(labels).mode()[0]
+        a, b = [], []
+        for i in np.flatnonzero(labels != common):
+            if block[i] != low and block[i] != high:
+                continue
+            # the other side: the other block, or the same one if it is compared with itself
+            other = high if block[i] == low else low
+            at = np.flatnonzero((labels != labels[i]) & (block == other) & ((labels == common) | (docs > docs[i])))
+            at = at[(start[at] == start[i]).sum(axis=1) >= first_least]
+            at = at[(signatures[at] == signatures[i]).sum(axis=1) >= least]
+            a.append(np.full(len(at), docs[i]))
+            b.append(docs[at])
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return pairs
+
+
 def _alike(least: int):
     """Keeps pairs whose signatures agree in at least that many places."""
 
@@ -104,11 +162,33 @@ class _Verifier:
     """Tells which candidate pairs really link."""
 
     def __init__(self, signed: DataFrame, sets: DataFrame, similarity: float, minima: int):
-        self.signed = signed.select("doc_id", "n", "signature")
+        self.signed = signed
         self.sets, self.similarity = sets, similarity
         deviation = (similarity * (1 - similarity) * minima) ** 0.5
         self.least = max(0, int(similarity * minima - SLACK * deviation))
 
+    def left(self, placed: DataFrame, sizes: DataFrame) -> DataFrame:
+        """Pairs that share a bucket, not a label, and may be similar; ``placed`` has (bucket, doc, label), ``sizes`` (bucket, all)."""
+        rows = placed.join(sizes, "bucket")
+        few = rows.where(F.col("all") <= LARGE)
+        one = few.select("bucket", F.col("doc").alias("a"), F.col("label").alias("_la"))
+        two = few.select("bucket", F.col("doc").alias("b"), F.col("label").alias("_lb"))
+        met = one.join(two, "bucket").where("_la < _lb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+        many = settle(rows.where(F.col("all") > LARGE), "large")
+        sets = self.sets.join(many.select("doc").distinct(), "doc", "left_semi")
+        signed = settle(sets.mapInArrow(_long_signer(), "doc bigint, long binary").dropDuplicates(["doc"]), "long")
+        many = many.withColumn("blocks", F.ceil(F.col("all") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("doc"), "blocks"))
+        many = many.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
+            "bucket", "doc", "label", "block", F.least("block", "_other").alias("_low"), F.greatest("block", "_other").alias("_high")
+        )
+        deviation = (self.similarity * (1 - self.similarity)) ** 0.5
+        least, first_least = [
+            max(0, int(n * self.similarity - slack * deviation * n**0.5)) for n, slack in ((LONG, LONG_SLACK), (LONG // 8, SLACK))
+        ]
+        found = many.join(signed, "doc").groupBy("bucket", "_low", "_high").applyInPandas(_apart(least, first_least), "a bigint, b bigint")
+        return met.union(found).distinct()
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets are similar enough."""
         percent = round(self.similarity * 100)
@@ -125,7 +205,17 @@ class _Verifier:
         set_b = self.sets.select(F.col("doc").alias("b"), F.col("shingles").alias("y"))
         common = F.size(F.array_intersect("x", "y"))
         linked = common * 100 >= (F.size("x") + F.size("y") - common) * percent
-        return near.join(set_b, "b").join(set_a, "a").where(linked).select("a", "b")
+        return near.join(set_b, "b").join(set_a, "a").where(linked).select("a", "b").distinct()
+
+
+def _verifier(docs: DataFrame, able: DataFrame, members: DataFrame, size: int, similarity: float, minima: int) -> _Verifier:
+    """Signatures and sets of the documents that share a bucket with another."""
+    wanted = settle(members.select(F.col("doc").alias("doc_id")).distinct(), "wanted")
+    signed = able.select("doc_id", "n", "signature").join(wanted, "doc_id", "left_semi").distinct()
+    passed = screen(wanted.select(F.col("doc_id").alias("key")), max(1, wanted.count()), SCREEN_BYTES).holds(F.col("doc_id"))
+    texts = docs.where(passed).join(wanted, "doc_id", "left_semi")
+    sets = texts.mapInArrow(_set_maker(size), "doc bigint, shingles array<bigint>")
+    return _Verifier(settle(signed, "signatures"), settle(sets, "sets"), similarity, minima)
 
 
 def near_duplicates(
@@ -142,10 +232,10 @@ def near_duplicates(
     gives no rows; other columns are not looked at.
 
     Documents with equal sets are one before banding. In every bucket all members are tested against
-    one leader; members that stay apart are tested against new leaders, and when few cross pairs are left in the
-    buckets, against each other. A pair already joined through others needs no test, so a group of n near copies
-    takes about n tests. A test compares sizes, then signatures (a pair at the threshold falls short
-    with probability below 1e-8), then the full sets.
+    one leader, and members that stay apart against a second one. Pairs that still share a bucket without being joined are
+    sought in blocks by a longer signature, and tested too. A pair joined through others needs no test, so a group of n near
+    copies takes about n tests, and no step hands on all pairs of a bucket. A test compares sizes, then signatures (a pair at
+    the threshold falls short with probability below 1e-5), then the full sets.
     """
     docs = docs.select("doc_id", "text")
     signed = docs.mapInArrow(
@@ -155,44 +245,34 @@ def near_duplicates(
     key = ["n", "s1", "s2"]
     able = signed.where("n > 0 AND doc_id IS NOT NULL")
     classes = settle(able.groupBy(*key).agg(F.min("doc_id").alias("doc_id")), "classes")
-    heads = able.join(classes, [*key, "doc_id"], "left_semi")
-    heads = settle(heads.groupBy("doc_id").agg(*[F.any_value(c).alias(c) for c in ("n", "signature", "bands")]), "heads")
-    banded = heads.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("doc"))
-    leaders = banded.groupBy("bucket").agg(F.min("doc").alias("leader"), F.count("*").alias("c")).where("c > 1").drop("c")
-    members = settle(banded.join(leaders, "bucket"), "members")
-    wanted = members.select(F.col("doc").alias("doc_id")).distinct()
-    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_set_maker(size), "doc bigint, shingles array<bigint>")
-    verifier = _Verifier(heads, settle(sets, "sets"), similarity, bands * rows)
+    heads = able.select(*key, "doc_id", "bands").join(classes, [*key, "doc_id"], "left_semi")
+    banded = settle(heads.select("doc_id", "bands"), "heads").select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("doc"))
+    ends = banded.groupBy("bucket").agg(F.min("doc").alias("leader"), F.max("doc").alias("_last"))
+    members = settle(banded.join(ends.where("leader < _last").drop("_last"), "bucket").distinct(), "members")
+    verifier = _verifier(docs, able, members, size, similarity, bands * rows)
 
     tested = settle(members.where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")).distinct(), "tested")
     links = settle(verifier.links(tested), "links")
     members = members.drop("leader")
-    for turn in range(LEADER_ROUNDS + 1):
-        joined = components(links)
-        placed = members.join(joined.withColumnRenamed("node", "doc"), "doc", "left")
-        placed = placed.withColumn("component", F.coalesce("component", "doc"))
-        parts = placed.groupBy("bucket", "component").count().groupBy("bucket").agg(
-            F.count("*").alias("parts"), F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("same")
-        ).where("parts > 1")
-        members = settle(placed.join(parts.select("bucket", "all", "same"), "bucket"), "members")
-        per_bucket = members.groupBy("bucket").agg(F.any_value("all").alias("all"), F.any_value("same").alias("same"))
-        size_now = per_bucket.agg(F.sum("all").alias("rows"), F.sum((F.col("all") * F.col("all") - F.col("same")) / 2).alias("pairs")).first()
-        if not size_now["rows"]:
+    for turn in range(1, LEADER_ROUNDS + 1):
+        placed = members.join(partial(links).withColumnRenamed("node", "doc"), "doc", "left")
+        placed = settle(placed.withColumn("label", F.coalesce("label", "doc")), "members")
+        sizes = placed.groupBy("bucket").agg(F.count("*").alias("all"), F.min("label").alias("_first"), F.max("label").alias("_last"))
+        sizes = settle(sizes.where("_first < _last").select("bucket", "all"), "mixed")
+        if sizes.isEmpty():
             break
-        last = turn == LEADER_ROUNDS or size_now["pairs"] <= FEW * size_now["rows"]
-        one = members.select("bucket", F.col("doc").alias("a"), F.col("component").alias("_ca"))
-        if not last:
-            ordered = F.struct(F.xxhash64("a", F.lit(turn)), "a", "_ca")
-            one = one.groupBy("bucket").agg(F.min(ordered).alias("s")).select("bucket", "s.a", "s._ca")
-        two = members.select("bucket", F.col("doc").alias("b"), F.col("component").alias("_cb"))
-        met = one.join(two, "bucket").where("_ca < _cb" if last else "_ca <> _cb")
-        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if turn < LEADER_ROUNDS:
+            placed = placed.join(sizes.select("bucket"), "bucket", "left_semi")
+            leader = F.min(F.struct(F.xxhash64("doc", "bucket"), "doc", "label")).alias("s")
+            leaders = placed.groupBy("bucket").agg(leader).select("bucket", F.col("s.doc").alias("a"), F.col("s.label").alias("_l"))
+            met = placed.join(leaders, "bucket").where("label <> _l")
+            met = met.select(F.least("a", "doc").alias("a"), F.greatest("a", "doc").alias("b")).distinct()
+            members = placed.select("bucket", "doc")
+        else:
+            met = verifier.left(placed, sizes)
         fresh = settle(met.join(tested, ["a", "b"], "left_anti"), "tested")
-        links = settle(links.union(verifier.links(fresh)), "links")
-        if last:
-            break
+        links = links.union(settle(verifier.links(fresh), "links"))
         tested = tested.union(fresh)
-        members = members.select("bucket", "doc")
 
     joined = components(links).withColumnRenamed("node", "doc_id")
     whole = classes.join(joined, "doc_id", "left").select(*key, F.coalesce("component", "doc_id").alias("component_id"))
