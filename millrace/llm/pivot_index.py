@@ -22,6 +22,8 @@ from .va_file import whole_vector
 LISTS = 5
 #: Nearest pivots that describe a vector, and how many of them two candidates must share.
 DESCRIBED, SHARED = 8, 2
+#: Cosine from which two pivots are too close to stand side by side.
+PIVOT_COSINE = 0.8
 #: Rows of a list that are compared in one piece; larger lists are cut.
 LIST_BLOCK = 1024
 
@@ -31,6 +33,19 @@ def pivots_for(n: int) -> int:
     return max(16, math.ceil(2 * math.sqrt(n)))
 
 
+def _spread(points: np.ndarray) -> np.ndarray:
+    """Unit vectors of the points, without those close to an earlier one.
+
+    Pivots drawn from one dense group would all be nearest to its vectors, in an order that noise decides.
+    """
+    points = points / np.linalg.norm(points, axis=1)[:, None]
+    kept = [0]
+    for i in range(1, len(points)):
+        if (points[kept] @ points[i]).max() < PIVOT_COSINE:
+            kept.append(i)
+    return points[kept]
+
+
 def _describe(pivots: dict[int, np.ndarray]):
     """Adds the nearest pivots, in order, to each vector of unit length."""
 
@@ -115,7 +130,7 @@ def near_duplicates(
     share their links. An empty table gives no rows. Other columns are not looked at.
 
     Equal vectors of a label are folded into one with a count before they are indexed. Pivots are a
-    sample of the vectors, twice the root of their number; every vector is indexed, in the lists of its ``lists`` nearest
+    sample of the vectors, twice the root of their number, less those close to another; every vector is indexed, in the lists of its ``lists`` nearest
     pivots. A list of more than ``list_block`` rows is cut into blocks, each pair of which is a group
     of its own. Links are summed inside the groups and leave them as one row per vector, never as pairs.
     """
@@ -133,10 +148,7 @@ def near_duplicates(
     count = folded.count()
     order = Window.partitionBy("dim").orderBy(F.xxhash64("class"))
     chosen = folded.select("dim", "v", F.row_number().over(order).alias("n")).where(F.col("n") <= pivots_for(count))
-    pivots = {
-        int(dim): (lambda m: m / np.linalg.norm(m, axis=1)[:, None])(np.vstack(part["v"].to_numpy()))
-        for dim, part in chosen.orderBy("dim", "n").toPandas().groupby("dim")
-    }
+    pivots = {int(dim): _spread(np.vstack(part["v"].to_numpy())) for dim, part in chosen.orderBy("dim", "n").toPandas().groupby("dim")}
     described = folded.select("rep", "copies", "label", "dim", "v").mapInPandas(
         _describe(pivots), "rep bigint, copies bigint, label string, dim int, v array<double>, near array<int>"
     )
