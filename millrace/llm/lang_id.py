@@ -197,9 +197,9 @@ def train(docs: DataFrame) -> Model:
     counts = rows.mapInArrow(_counter(tables), "lang string, feature bigint, n bigint")
     counts = counts.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(counts["lang"].unique())
-    which = counts["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy()
+    which = np.searchsorted(langs, counts["lang"].to_numpy(str)) if langs else np.zeros(0, np.int64)
     total = np.zeros((len(langs), BUCKETS + 256))
-    total[which, counts["feature"].to_numpy()] = counts["n"].to_numpy()
+    total[which, counts["feature"].to_numpy(np.int64)] = counts["n"].to_numpy(np.float64)
     trigrams, scripts = total[:, :BUCKETS], total[:, BUCKETS:]
     scores = np.log((trigrams + SMOOTHING) / (trigrams.sum(axis=1, keepdims=True) + SMOOTHING * BUCKETS))
     allowed = (scripts >= SCRIPT_SHARE * np.maximum(1, scripts.sum(axis=1, keepdims=True))).T
