@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date header at the start of a record, border between header and rest, time pattern.
-HEADER = r"^\d+\W\d+\W\d{2}\W+\d+\W\d+"
+# Date header, border between header and rest, time pattern. The header is looked for at
+# the start of a line only, after a bracket or a direction mark if there is one.
+HEADER = r"^[\[\u200e\u200f\ufeff]*\d+\W\d+\W\d{2}\W+\d+\W\d+"
 BORDER = r"\s+\W+\s"
 TIME_PATTERN = "M/d/yy, H:mm"
+# What opens a record: all up to the border, and the sender where there is one.
+OPENING = rf"^.*?{BORDER}(?:[^:\n]*: ?)?"
 
 
 def starts_record(line: Column) -> Column:

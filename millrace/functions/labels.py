@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 # Class numbers of the news classes, and the number for any other class.
 NEWS_CLASSES = {"Sports": 0, "Education": 1, "Technology": 2, "Health": 3, "Business": 4}
 OTHER_CLASS = 10
+# White space and control characters, which may stand around a class name.
+AROUND = "".join(map(chr, range(0x21)))
 
 
 def class_number(
     name: Column, classes: Mapping[str, int] = NEWS_CLASSES, other: int = OTHER_CLASS
 ) -> Column:
-    """Number of a class name after trimming blanks; unknown names and NULL give ``other``."""
+    """Number of a class name after trimming white space; unknown names and NULL give ``other``."""
     number = F.lit(other)
     for known, value in classes.items():
-        number = F.when(F.trim(name) == known, value).otherwise(number)
+        number = F.when(F.btrim(name, F.lit(AROUND)) == known, value).otherwise(number)
     return number
 
 

@@ -28,6 +28,7 @@ def fold_lines(
     """(file columns, record, part, value): a line with a date header starts a record, others
     continue it.
 
+    Further parts of a record open with its header and sender again, so that they parse like it.
     Lines before the first header of a file are record 0. The running count of headers is taken
     in slices, so one huge file is not one task. A record is one row, part 0, unless it has more
     than ``max_lines`` lines (a file that is no chat): it then goes on in further parts, so that
@@ -43,13 +44,20 @@ def fold_lines(
         known = attach(marked, F.broadcast(named), keys, "left")
         short_lines = known.where("__long IS NULL").withColumn("part", F.lit(0).cast("long"))
         numbered = number_rows(known.where("__long"), keys, order, "__row", max_rows=max_rows)
-        long_lines = numbered.withColumn("part", F.floor((F.col("__row") - 1) / max_lines)).drop("__row")
-        parted = short_lines.unionByName(long_lines)
+        numbered = numbered.withColumn("part", F.floor((F.col("__row") - 1) / max_lines))
+        parted = short_lines.unionByName(numbered.drop("__row"))
+        opening = F.regexp_extract(line_col, C.OPENING, 0)
+        leads = numbered.where((F.col("__row") == 1) & C.starts_record(F.col(line_col))).select(*keys, opening.alias("__lead"))
     else:
         parted = marked.withColumn("part", F.lit(0).cast("long"))
     piece = F.struct(*order, F.col(line_col).alias("__line"))
     grouped = parted.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(piece)).alias("__p"))
-    return grouped.select(*keys, "part", F.array_join("__p.__line", joiner).alias("value"))
+    folded = grouped.select(*keys, "part", F.array_join("__p.__line", joiner).alias("value"))
+    if not long:
+        return folded
+    led = attach(folded, leads, keys, "left")
+    lead = F.when(F.col("part") > 0, F.col("__lead"))
+    return led.select(*keys, "part", F.concat(F.coalesce(lead, F.lit("")), "value").alias("value"))
 
 
 def _long_records(

@@ -20,7 +20,7 @@ from .token_sets import SetsOf, difference_bound, distinct_sets, near_pairs, set
 
 PRIME = (1 << 31) - 1
 SEED = 7
-MAX_HASHES = 64
+HASHES = 64
 SKETCH = 4
 KEYS = ["band", "key"]
 
@@ -35,18 +35,19 @@ def miss_rate(distance: float, bands: int, rows: int) -> float:
     return (1 - (1 - distance) ** rows) ** bands
 
 
-def choose_bands(distance: float, miss: float = 0.001, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
-    """(bands, rows per band): the longest bands that keep the miss rate, two rows at least.
+def choose_bands(distance: float, miss: float = 0.001, hashes: int = HASHES) -> tuple[int, int]:
+    """(bands, rows per band) that keep the miss rate: the longest bands that ``hashes`` hashes allow.
 
-    Single-row bands put all sets with one common token together, so for a loose threshold two
-    rows and all allowed hashes are used, at a higher miss rate.
+    Single-row bands put all sets with one common token together, so bands have two rows at least;
+    where those need more hashes, they get them.
     """
-    best = (max_hashes // 2, 2)
-    for rows in range(2, 13):
-        bands = max(1, math.ceil(math.log(miss) / math.log(1 - (1 - distance) ** rows)))
-        if bands * rows <= max_hashes:
-            best = (bands, rows)
-    return best
+
+    def bands(rows: int) -> int:
+        return max(1, math.ceil(math.log(miss) / math.log(1 - (1 - distance) ** rows)))
+
+    fitting = [rows for rows in range(2, 13) if bands(rows) * rows <= hashes]
+    rows = max(fitting, default=2)
+    return bands(rows), rows
 
 
 def token_hash(token: Column) -> Column:

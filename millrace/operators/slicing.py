@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_GROUP_ROWS = 4_000_000
-MAX_CUTS = 100_000
 SLICE = "__slice"
 HOT = "__hot"
 
@@ -146,7 +145,7 @@ def slice_groups(
         return Slices(whole, keys, order, False)
     spark = df.sparkSession
     largest = max(r["__n"] for r in hot_rows)
-    pieces = min(MAX_CUTS, math.ceil(largest / max_rows) + 1)
+    pieces = math.ceil(largest / max_rows) + 1
     hot = spark.createDataFrame(
         hot_rows, T.StructType([*[df.schema[k] for k in keys], T.StructField("__n", T.LongType())])
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -33,8 +33,17 @@ def append_rows(base: DataFrame, extra: DataFrame) -> DataFrame:
     return base.unionByName(extra.select(*base.columns))
 
 
-def upsert_rows(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The updates, and the base rows whose key they do not hold."""
+def upsert_rows(base: DataFrame, updates: DataFrame, keys: Sequence[str], latest: str | None = None) -> DataFrame:
+    """The updates, and the base rows whose key they do not hold.
+
+    Of updates that repeat a key the one with the largest ``latest`` counts; without that column
+    repeated keys are an error, as they would leave two rows for a key.
+    """
+    if latest:
+        last = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(latest))
+        updates = updates.withColumn("__n", F.row_number().over(last)).where("__n = 1").drop("__n")
+    elif not updates.groupBy(*keys).count().where("count > 1").isEmpty():
+        raise ValueError(f"updates repeat keys in {list(keys)}: name the column that tells the latest")
     kept = base.join(updates.select(*keys).distinct(), list(keys), "left_anti")
     return kept.select(*base.columns).unionByName(updates.select(*base.columns))
 

@@ -83,12 +83,12 @@ def rank_within(
 
     held = F.sum(sum_of) if sum_of else F.lit(None).cast("long")
     values = sliced.df.groupBy(*sliced.parts, HOT, order).agg(
-        F.count("*").alias("__n"), held.alias("__s")
+        F.count("*").alias("__n"), held.alias("__s"), F.count(sum_of or "*").alias("__c")
     )
     totals = values.where(HOT).groupBy(*sliced.parts).agg(
-        F.sum("__n").alias("__n"), F.count("*").alias("__d"), F.sum("__s").alias("__s")
+        F.sum("__n").alias("__n"), F.count("*").alias("__d"), F.sum("__s").alias("__s"), F.sum("__c").alias("__c")
     )
-    offsets = _slice_offsets(totals, keys, ["__n", "__d", "__s"], descending)
+    offsets = _slice_offsets(totals, keys, ["__n", "__d", "__s", "__c"], descending)
     part = Window.partitionBy(*sliced.parts)
     by = part.orderBy(*_sorted([order], descending))
     local = values.select(
@@ -98,6 +98,7 @@ def rank_within(
         F.coalesce(F.sum("__n").over(_before(by)), F.lit(0)).alias("__n0"),
         F.row_number().over(by).alias("__d0"),
         F.sum("__s").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__s0"),
+        F.sum("__c").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__c0"),
     )
     placed = attach(local, offsets, sliced.parts, "left")
     rank = _ahead("__n") + F.col("__n0") + 1
@@ -106,7 +107,8 @@ def rank_within(
         "rank": rank.cast("int"),
         "dense_rank": (_ahead("__d") + F.col("__d0")).cast("int"),
         "percent_rank": F.when(size > 1, (rank - 1) / (size - 1)).otherwise(0.0),
-        "running_sum": _ahead("__s") + F.coalesce(F.col("__s0"), F.lit(0)),
+        # NULL, as in a window, until a value has been met
+        "running_sum": F.when(_ahead("__c") + F.col("__c0") > 0, _ahead("__s") + F.coalesce(F.col("__s0"), F.lit(0))),
     }
     ranks = placed.select(
         *keys, order, *[formula[kind].alias(name) for kind, name in wanted.items()]
@@ -158,13 +160,14 @@ def running_total(
     sliced = slice_groups(df.withColumn("__v", value), keys, order, max_rows)
     by = Window.partitionBy(*sliced.parts).orderBy(*order)
     so_far = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = sliced.df.withColumn(name, F.sum("__v").over(so_far))
+    local = sliced.df.withColumn(name, F.sum("__v").over(so_far)).withColumn("__c", F.count("__v").over(so_far))
     if not sliced.hot:
         return local.select(*df.columns, name)
-    totals = sliced.df.where(HOT).groupBy(*sliced.parts).agg(F.sum("__v").alias("__v"))
-    offsets = _slice_offsets(totals, sliced.keys, ["__v"], False)
+    totals = sliced.df.where(HOT).groupBy(*sliced.parts).agg(F.sum("__v").alias("__v"), F.count("__v").alias("__c"))
+    offsets = _slice_offsets(totals, sliced.keys, ["__v", "__c"], False)
     placed = attach(local, offsets, sliced.parts, "left")
-    return placed.withColumn(name, F.col(name) + _ahead("__v")).select(*df.columns, name)
+    met = F.col("__c") + _ahead("__c") > 0
+    return placed.withColumn(name, F.when(met, F.coalesce(name, F.lit(0)) + _ahead("__v"))).select(*df.columns, name)
 
 
 def moving_average(

@@ -28,17 +28,30 @@ def chat_lines(spark, sf):
     return records.select("conv_id", "turn", F.posexplode("lines").alias("pos", "value"))
 
 
-def chat_records(spark, sf):
-    return chat.fold_lines(chat_lines(spark, sf), ["conv_id"], ["turn", "pos"])
+def chat_records(spark, sf, **sizes):
+    return chat.fold_lines(chat_lines(spark, sf), ["conv_id"], ["turn", "pos"], **sizes)
 
 
 @query(
     "chat_fold",
     f"""WITH {_TIMED_SQL} SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS record,
-        concat({_HEADER_SQL}, ' - ', role, ': ', text) AS value FROM timed""",
+        0 AS part, concat({_HEADER_SQL}, ' - ', role, ': ', text) AS value FROM timed""",
 )
 def chat_fold(spark, sf):
-    return chat_records(spark, sf).select("conv_id", "record", "value")
+    return chat_records(spark, sf).select("conv_id", "record", "part", "value")
+
+
+@query(
+    "chat_parse_parts",
+    f"""WITH {_TIMED_SQL}, lines AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS record,
+            string_split(text, chr(10)) AS l FROM timed),
+        parts AS (SELECT *, unnest(range(0, (len(l) + 1) // 2)) AS part FROM lines)
+        SELECT conv_id, record, part, {_HEADER_SQL} AS header, ts AS timestamp, role AS name,
+            array_to_string(l[2 * part + 1:2 * part + 2], chr(10)) AS msg FROM parts""",
+)
+def chat_parse_parts(spark, sf):
+    """Records that go on in parts of two lines."""
+    return chat.parse_records(chat_records(spark, sf, max_lines=2), keep=["conv_id", "record", "part"])
 
 
 @query(

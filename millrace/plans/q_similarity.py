@@ -28,38 +28,30 @@ def _sets_sql(source: str, id_col: str, name: str) -> str:
         {name}_w AS (SELECT id, copies, len(t) AS n, unnest(t) AS w FROM {name})"""
 
 
-def _measure_sql(a: str, b: str, distance: float, where: str = "TRUE", join: str = "") -> str:
+def _measure_sql(a: str, b: str, distance: float, where: str = "TRUE") -> str:
     """Pairs of two word tables below the distance, counted word by word."""
     t = token_sets.exact(distance)
     return f"""common AS (SELECT a.id AS id_a, b.id AS id_b, a.copies AS copies_a, b.copies AS copies_b,
             a.n + b.n AS sizes, count(*) AS shared
-          FROM {a}_w a JOIN {b}_w b ON a.w = b.w {join} WHERE {where} GROUP BY ALL)
+          FROM {a}_w a JOIN {b}_w b ON a.w = b.w WHERE {where} GROUP BY ALL)
         SELECT id_a, id_b, round(1 - shared / (sizes - shared), 6) AS distance, copies_a, copies_b FROM common
         WHERE shared * {t.denominator} > (sizes - shared) * {t.denominator - t.numerator}"""
 
 
-_COEFFICIENTS_SQL = "coef(i, a, b) AS (VALUES " + ", ".join(
-    f"({i}, {a}::BIGINT, {b}::BIGINT)" for i, (a, b) in enumerate(minhash.coefficients(minhash.MAX_HASHES))
-) + ")"
 _HASH_SQL = f"CAST(('0x' || md5(w)[1:8]) AS BIGINT) % {minhash.PRIME}"
 
 
-def _bands_sql(name: str, distance: float) -> str:
-    bands, rows = minhash.choose_bands(distance)
-    return f"""{name}_h AS (SELECT id, {_HASH_SQL} AS h FROM {name}_w),
-        {name}_m AS (SELECT id, i, min((a * h + b) % {minhash.PRIME}) AS m FROM {name}_h, coef
-            WHERE i < {bands * rows} GROUP BY id, i),
-        {name}_b AS (SELECT id, i // {rows} AS band, list(m ORDER BY i) AS key FROM {name}_m GROUP BY id, i // {rows})"""
+def _between_sql(distance: float) -> str:
+    """All near pairs of a benchmark text and a document, by counting common words."""
+    return f"""WITH {_sets_sql('benchmark', 'item_id', 'x')}, {_sets_sql('documents', 'doc_id', 'y')},
+        {_measure_sql('x', 'y', distance)}"""
 
 
-def _banded_join_sql(distance: float) -> str:
-    return f"""WITH {_COEFFICIENTS_SQL}, {_sets_sql('benchmark', 'item_id', 'x')},
-        {_sets_sql('documents', 'doc_id', 'y')}, {_bands_sql('x', distance)}, {_bands_sql('y', distance)},
-        met AS (SELECT DISTINCT p.id AS ia, q.id AS ib FROM x_b p JOIN y_b q ON p.band = q.band AND p.key = q.key),
-        {_measure_sql('x', 'y', distance, join='JOIN met ON met.ia = a.id AND met.ib = b.id')}"""
+def _within_sql(distance: float) -> str:
+    return f"WITH {_sets_sql('documents', 'doc_id', 's')}, {_measure_sql('s', 's', distance, 'a.id < b.id')}"
 
 
-NEAR_SQL = f"WITH {_sets_sql('documents', 'doc_id', 's')}, {_measure_sql('s', 's', NEAR, 'a.id < b.id')}"
+NEAR_SQL = _within_sql(NEAR)
 
 
 def documents(spark, sf):
@@ -84,13 +76,19 @@ def near_dup_copies(spark, sf):
     return token_sets.copy_links(token_sets.token_sets(documents(spark, sf), "doc_id", "text"))
 
 
-@query("lsh_join", _banded_join_sql(JOIN_DISTANCE))
+@query("lsh_join", _between_sql(JOIN_DISTANCE))
 def lsh_join(spark, sf):
     return minhash.minhash_near_pairs_between(
         table(spark, sf, "benchmark"), documents(spark, sf), "item_id", "doc_id", "text", "text", JOIN_DISTANCE
     )
 
 
+@query("lsh_self_join", _within_sql(STREAM_DISTANCE))
+def lsh_self_join(spark, sf):
+    """A loose threshold within one table."""
+    return minhash.minhash_near_pairs(documents(spark, sf), "doc_id", "text", STREAM_DISTANCE)
+
+
 @query(
     "minhash_signatures",
     f"WITH {_sets_sql('documents', 'doc_id', 's')}, h AS (SELECT id, n, {_HASH_SQL} AS h FROM s_w) SELECT id, "
@@ -103,7 +101,7 @@ def minhash_signatures(spark, sf):
     return minhash.signatures(sets, SIGNATURE)
 
 
-@query("stream_near_dup", _banded_join_sql(STREAM_DISTANCE))
+@query("stream_near_dup", _between_sql(STREAM_DISTANCE))
 def stream_near_dup(spark, sf):
     """The benchmark texts arrive as a stream and are looked up in the index of the documents."""
     root = scratch_path(spark, "stream_near_dup")

@@ -83,3 +83,14 @@ def test_header_times_with_one_or_two_digits(spark):
     texts = spark.createDataFrame([("1/5/17, 9:05",), ("01/05/17, 09:05",), ("x",), (None,)], "t string")
     got = [r[0] for r in texts.select(C.parse_time(F.col("t"))).collect()]
     assert got == [dt.datetime(2017, 1, 5, 9, 5)] * 2 + [None, None]
+
+
+def test_parts_of_a_record_parse_like_it(spark):
+    lines = [(0, "1/5/17, 9:05 - bob: hi"), (1, "l2"), (2, "l3"), (3, "l4"), (4, "l5"), (5, "1/5/17, 9:06 - joined the group"), (6, "x"), (7, "y")]
+    df = spark.createDataFrame([("f", i, t) for i, t in lines], "file string, line int, value string")
+    parsed = chat.parse_records(chat.fold_lines(df, ["file"], ["line"], max_lines=2), keep=["record", "part"])
+    got = sorted((r["record"], r["part"], r["header"], r["name"], r["msg"]) for r in parsed.collect())
+    assert got == [
+        (1, 0, "1/5/17, 9:05", "bob", "hi\nl2"), (1, 1, "1/5/17, 9:05", "bob", "l3\nl4"), (1, 2, "1/5/17, 9:05", "bob", "l5"),
+        (2, 0, "1/5/17, 9:06", "", "joined the group\nx"), (2, 1, "1/5/17, 9:06", "", "y"),
+    ]

@@ -111,9 +111,12 @@ def test_sketches_drop_no_near_pair(texts):
 
 
 def test_miss_rate_of_chosen_bands():
+    for distance in (0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8):
+        for miss in (0.001, 1e-6):
+            assert minhash.miss_rate(distance, *minhash.choose_bands(distance, miss)) <= miss
     for distance in (0.05, 0.1, 0.2, 0.3, 0.4, 0.5):
         bands, rows = minhash.choose_bands(distance)
-        assert bands * rows <= minhash.MAX_HASHES and minhash.miss_rate(distance, bands, rows) <= 0.001
+        assert bands * rows <= minhash.HASHES
 
 
 def test_copies_are_links_not_pairs(spark):

@@ -149,8 +149,8 @@ def test_hashed_counts_add_up(spark):
 
 def test_document_vectors_repeat(spark):
     df = spark.createDataFrame([(i, f"a b c d{i % 3}") for i in range(30)] + [(99, " ")], "id int, t string")
-    first = {r["id"]: r["vector"] for r in features.document_vectors(df, "id", "t", tasks=1).collect()}
-    second = {r["id"]: r["vector"] for r in features.document_vectors(df, "id", "t", tasks=1).collect()}
+    first = {r["id"]: r["vector"] for r in features.document_vectors(df, "id", "t").collect()}
+    second = {r["id"]: r["vector"] for r in features.document_vectors(df, "id", "t").collect()}
     assert first == second and len(first) == 30 and len(first[0]) == 10
 
 
@@ -158,3 +158,17 @@ def test_idf(spark):
     df = spark.createDataFrame([("a b a",), ("a",), (None,)], "t string")
     got = {r["word"]: (r["df"], r["idf"]) for r in features.idf_weights(df, "t").collect()}
     assert got == {"a": (2, pytest.approx(math.log(4 / 3))), "b": (1, pytest.approx(math.log(2)))}
+
+
+def test_updates_that_repeat_a_key(spark):
+    base = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "id int, v string, at int")
+    more = spark.createDataFrame([(2, "new", 5), (2, "old", 3), (3, "c", 1)], "id int, v string, at int")
+    with pytest.raises(ValueError):
+        tables.upsert_rows(base, more, ["id"])
+    kept = {r["id"]: r["v"] for r in tables.upsert_rows(base, more, ["id"], latest="at").collect()}
+    assert kept == {1: "a", 2: "new", 3: "c"}
+
+
+def test_white_space_around_class_names(spark):
+    df = spark.createDataFrame([("Sports\t",), ("\r\n Sports",), ("\tHealth",), (None,)], "t string")
+    assert column(df, labels.class_number(F.col("t"))) == [0, 0, 3, 10]

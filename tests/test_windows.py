@@ -114,3 +114,14 @@ def test_bins_cover_all_rows(rows):
     binned = rows.select(bin_number(F.col("level"), [10.0, 30.0]).alias("b")).groupBy("b").count().collect()
     assert {r["b"] for r in binned} == {None, 0, 1, 2}
     assert sum(r["count"] for r in binned) == 1500
+
+
+def test_cut_running_sums_start_with_null(spark):
+    rows = [("k", i, None if i < 40 else i % 7) for i in range(120)] + [("j", i, 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, o int, v int")
+    plain = W.rank_within(df, ["k"], "o", {"running_sum": "s"}, descending=False, sum_of="v", max_rows=None)
+    cut = W.rank_within(df, ["k"], "o", {"running_sum": "s"}, descending=False, sum_of="v", max_rows=25)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, cut.select(*plain.columns).collect()))
+    plain = W.running_total(df, ["k"], ["o"], F.col("v"), "s", max_rows=None)
+    cut = W.running_total(df, ["k"], ["o"], F.col("v"), "s", max_rows=25)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect()))
