@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from ..operators import minhash, segment_join, token_sets
@@ -19,10 +22,11 @@ VECTOR_DISTANCE = 0.001
 PAIR = ["id_a", "id_b", "distance", "copies_a", "copies_b"]
 
 
-def _sets_sql(source: str, id_col: str, name: str) -> str:
+def _sets_sql(source: str, id_col: str, name: str, stop_words: Sequence[str] = ()) -> str:
     """Distinct token sets of a table under their smallest id, and their words as rows."""
+    stop = ", ".join(f"'{w}'" for w in ("", *stop_words))
     return rf"""{name}_t AS (SELECT {id_col} AS id, list_distinct(list_filter(
-            string_split_regex(lower(text), '\s'), lambda x: x <> '')) AS t FROM {source}),
+            string_split_regex(lower(text), '\s'), lambda x: x NOT IN ({stop}))) AS t FROM {source}),
         {name} AS (SELECT min(id) AS id, count(*) AS copies, list_sort(t) AS t FROM {name}_t
             WHERE len(t) > 0 GROUP BY list_sort(t)),
         {name}_w AS (SELECT id, copies, len(t) AS n, unnest(t) AS w FROM {name})"""
@@ -41,9 +45,9 @@ def _measure_sql(a: str, b: str, distance: float, where: str = "TRUE") -> str:
 _HASH_SQL = f"CAST(('0x' || md5(w)[1:8]) AS BIGINT) % {minhash.PRIME}"
 
 
-def _between_sql(distance: float) -> str:
+def _between_sql(distance: float, stop_words: Sequence[str] = ()) -> str:
     """All near pairs of a benchmark text and a document, by counting common words."""
-    return f"""WITH {_sets_sql('benchmark', 'item_id', 'x')}, {_sets_sql('documents', 'doc_id', 'y')},
+    return f"""WITH {_sets_sql('benchmark', 'item_id', 'x', stop_words)}, {_sets_sql('documents', 'doc_id', 'y', stop_words)},
         {_measure_sql('x', 'y', distance)}"""
 
 
@@ -101,12 +105,11 @@ def minhash_signatures(spark, sf):
     return minhash.signatures(sets, SIGNATURE)
 
 
-@query("stream_near_dup", _between_sql(STREAM_DISTANCE))
-def stream_near_dup(spark, sf):
+def _looked_up(spark, sf, sets_of):
     """The benchmark texts arrive as a stream and are looked up in the index of the documents."""
     root = scratch_path(spark, "stream_near_dup")
-    shape = build_index(documents(spark, sf), "doc_id", "text", STREAM_DISTANCE, f"{root}/index")
-    index = Index(spark, f"{root}/index", shape)
+    shape = build_index(documents(spark, sf), "doc_id", "text", STREAM_DISTANCE, f"{root}/index", sets_of=sets_of)
+    index = Index(spark, f"{root}/index", shape, sets_of=sets_of)
     schema = table(spark, sf, "benchmark").schema
     stream = stream_table(spark, f"{sf}/benchmark.parquet*", schema)
     stream_near_duplicates(
@@ -115,6 +118,20 @@ def stream_near_dup(spark, sf):
     return spark.read.parquet(f"{root}/out").select(*PAIR)
 
 
+@query("stream_near_dup", _between_sql(STREAM_DISTANCE))
+def stream_near_dup(spark, sf):
+    return _looked_up(spark, sf, token_sets.token_sets)
+
+
+#: Words that the second stream leaves out of all sets.
+STREAM_STOP = ["the", "of", "and", "to", "is", "de", "la", "der", "die", "que"]
+
+
+@query("stream_near_dup_stop", _between_sql(STREAM_DISTANCE, STREAM_STOP))
+def stream_near_dup_stop(spark, sf):
+    return _looked_up(spark, sf, partial(token_sets.token_sets, stop_words=STREAM_STOP))
+
+
 @query(
     "embedding_near_dup",
     f"""WITH a AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),

@@ -14,33 +14,44 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.buckets import BUCKET_ROWS, large_buckets
 from ..operators.minhash import KEYS, band_keys, candidates, choose_bands
-from ..operators.token_sets import distinct_sets, near_pairs, token_sets
+from ..operators.token_sets import SetsOf, distinct_sets, near_pairs, token_sets
 
 
 def build_index(
-    corpus: DataFrame, id_col: str, text_col: str, distance: float, path: str, shape: tuple[int, int] | None = None
+    corpus: DataFrame,
+    id_col: str,
+    text_col: str,
+    distance: float,
+    path: str,
+    shape: tuple[int, int] | None = None,
+    sets_of: SetsOf = token_sets,
 ) -> tuple[int, int]:
-    """Write the index of a corpus below ``path``; returns (bands, rows) used."""
+    """Write the index of a corpus below ``path``; returns (bands, rows) used.
+
+    ``sets_of`` makes the sets, so that stop words, say, are left out; lookups are given the same. An
+    index that stands there is replaced.
+    """
     shape = shape or choose_bands(distance)
     spark = corpus.sparkSession
-    distinct_sets(token_sets(corpus, id_col, text_col)).write.parquet(f"{path}/sets")
+    distinct_sets(sets_of(corpus, id_col, text_col)).write.mode("overwrite").parquet(f"{path}/sets")
     sets = spark.read.parquet(f"{path}/sets")
-    band_keys(sets, *shape).write.parquet(f"{path}/keys")
+    band_keys(sets, *shape).write.mode("overwrite").parquet(f"{path}/keys")
     return shape
 
 
 class Index:
     """A written index, opened for lookups."""
 
-    def __init__(self, spark: SparkSession, path: str, shape: tuple[int, int], bucket_rows: int = BUCKET_ROWS):
-        self.shape = shape
+    def __init__(self, spark: SparkSession, path: str, shape: tuple[int, int], bucket_rows: int = BUCKET_ROWS,
+                 sets_of: SetsOf = token_sets):
+        self.shape, self.sets_of = shape, sets_of
         self.sets = spark.read.parquet(f"{path}/sets")
         self.keys = spark.read.parquet(f"{path}/keys")
         self.large = large_buckets(self.keys, KEYS, bucket_rows)
 
     def lookup(self, texts: DataFrame, id_col: str, text_col: str, distance: float) -> DataFrame:
         """Pairs of a set of ``texts`` (a) and a set of the corpus (b) nearer than ``distance``."""
-        sets = distinct_sets(token_sets(texts, id_col, text_col))
+        sets = distinct_sets(self.sets_of(texts, id_col, text_col))
         found = candidates(band_keys(sets, *self.shape), self.keys, distance, False, None, self.large)
         return near_pairs(found, sets, self.sets, distance)
 
