@@ -7,12 +7,13 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from ..operators import minhash, segment_join, token_sets
+from ..operators import features, minhash, segment_join, token_sets
 from ..operators.vector_join import near_vectors
 from ..session import scratch_path
 from ..sources.files import stream_table
 from ..streaming.near_dup import Index, build_index, stream_near_duplicates
 from .catalog import query, table
+from .q_text import DOC_VECTOR_SQL, doc_vectors
 
 NEAR = 0.2
 JOIN_DISTANCE = 0.7
@@ -150,3 +151,19 @@ def embedding_near_dup(spark, sf):
     return near_vectors(
         vectors, vectors, "vec_id", "vec_id", F.col("embedding"), rounded, dim, VECTOR_DISTANCE
     )
+
+
+@query(
+    "text_vector_near_dup",
+    f"""WITH {DOC_VECTOR_SQL}, r AS (SELECT doc_id AS id, list_transform(v, lambda x: round(x, 6) + 0) AS v FROM v),
+        a AS (SELECT min(id) AS id, count(*) AS copies, v FROM r GROUP BY v)
+        SELECT x.id AS id_a, y.id AS id_b, round(1 - list_cosine_similarity(x.v, y.v), 6) AS distance,
+            x.copies AS copies_a, y.copies AS copies_b
+        FROM a x, a y WHERE 1 - list_cosine_similarity(x.v, y.v) < {VECTOR_DISTANCE}""",
+)
+def text_vector_near_dup(spark, sf):
+    """Texts to vectors of one space, and these joined by cosine."""
+    vectors = doc_vectors(spark, sf)
+    return near_vectors(
+        vectors, vectors, "doc_id", "doc_id", F.col("vector"), F.col("vector"), features.VECTOR_SIZE, VECTOR_DISTANCE
+    )

@@ -90,13 +90,13 @@ def hashed_tf_totals(spark, sf):
     return counted.select("doc_id", total.cast("bigint").alias("total"), whole.alias("whole"))
 
 
-_VECTOR_SQL = f"""{WORDS_SQL}, f AS (SELECT word, ln(((SELECT count(*) FROM documents) + 1) / (count(DISTINCT doc_id) + 1)) AS idf,
+DOC_VECTOR_SQL = f"""{WORDS_SQL}, f AS (SELECT word, ln(((SELECT count(*) FROM documents) + 1) / (count(DISTINCT doc_id) + 1)) AS idf,
         CAST('0x' || md5(word)[1:15] AS BIGINT) AS h FROM tokens GROUP BY word),
     v AS (SELECT doc_id, [{', '.join(f'sum(idf * (2 * ((h >> {i}) & 1) - 1)) / count(*)' for i in range(features.VECTOR_SIZE))}] AS v
         FROM tokens JOIN f USING (word) GROUP BY doc_id)"""
 
 
-@query("doc_vectors", f"WITH {_VECTOR_SQL} SELECT doc_id, list_transform(v, lambda x: round(x, 6) + 0) AS vector FROM v")
+@query("doc_vectors", f"WITH {DOC_VECTOR_SQL} SELECT doc_id, list_transform(v, lambda x: round(x, 6) + 0) AS vector FROM v")
 def doc_vectors(spark, sf):
     vectors = features.document_vectors(documents(spark, sf), "doc_id", "text")
     return vectors.select("doc_id", F.transform("vector", lambda x: F.round(x, 6) + 0.0).alias("vector"))
