@@ -17,12 +17,8 @@ from .words import SPACED, Words, chunks, mix, shingles
 BANDS, ROWS = 32, 5
 #: Standard deviations that a signature's estimate may stay below the threshold.
 SLACK = 5.0
-#: Rounds of leaders: the smallest id of each bucket, then others drawn by bucket.
-LEADER_ROUNDS = 2
-#: Minima of the longer signature that tells what is left in buckets apart, and standard deviations it may fall short.
-LONG, LONG_SLACK = 1024, 4.5
-#: Rows of a bucket from which pairs are looked for in blocks, and rows of a block.
-LARGE, BLOCK = 8, 2048
+#: Rows of a bucket from which its pairs are sought in blocks, and rows of a block.
+LARGE, BLOCK = 8, 1024
 #: Bytes of the filter that spares texts without candidates a shuffle.
 SCREEN_BYTES = 4 << 20
 
@@ -92,56 +88,39 @@ def _set_maker(size: int):
     return sets_of
 
 
-def _long_signer():
-    """The low bytes of many minima of each set."""
-    a, b = _coefficients(LONG, 2)
+def _apart(percent: int):
+    """A forest of links between the labels of a bucket's block.
 
-    def sign(batches):
-        for batch in batches:
-            column = batch.column("shingles")
-            bounds = column.offsets.to_numpy().astype(np.int64)
-            found = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            out = np.zeros((batch.num_rows, LONG), np.uint8)
-            row = 0
-            while row < batch.num_rows:  # as many sets at once as stay in the cache
-                stop = max(row + 1, int(np.searchsorted(bounds, bounds[row] + (1 << 16), "right")) - 1)
-                x = found[bounds[row] : bounds[stop]] >> np.uint64(32)
-                starts = bounds[row:stop] - bounds[row]
-                buffer = np.empty_like(x)
-                for i in range(LONG):
-                    np.multiply(x, a[i], out=buffer)
-                    np.add(buffer, b[i], out=buffer)
-                    out[row:stop, i] = np.minimum.reduceat(buffer, starts) >> np.uint64(32)
-                row = stop
-            yield pa.RecordBatch.from_pydict({"doc": batch.column("doc"), "long": pa.array([r.tobytes() for r in out], pa.binary())})
-
-    return sign
-
-
-def _apart(least: int, first_least: int):
-    """Pairs of a bucket's block that bear different labels and whose long signatures agree enough."""
+    Rows that bear the most common label are not compared with each other, and a row that got joined is not linked again,
+    so there are fewer links than rows.
+    """
 
-    def pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def forest(key, rows):
         low, high = int(key[-2]), int(key[-1])
-        signatures = np.frombuffer(b"".join(rows["long"]), np.uint8).reshape(len(rows), -1)
-        docs, labels, block = rows["doc"].to_numpy(), rows["label"].to_numpy(), rows["block"].to_numpy()
-        start = np.ascontiguousarray(signatures[:, : LONG // 8])
-        common = pd.Series(labels).mode()[0]
+        rows = rows.sort_values("doc", kind="stable")
+        docs, block, n = rows["doc"].to_numpy(), rows["block"].to_numpy(), rows["n"].to_numpy()
+        _, root = np.unique(rows["label"].to_numpy(), return_inverse=True)
+        lengths = np.array([len(s) for s in rows["shingles"]])
+        bounds = np.concatenate(([0], np.cumsum(lengths)))
+        known, which = np.unique(np.concatenate(rows["shingles"].to_numpy()), return_inverse=True)
+        marked = np.zeros(len(known), bool)
         a, b = [], []
-        for i in np.flatnonzero(labels != common):
-            if block[i] != low and block[i] != high:
-                continue
-            # the other side: the other block, or the same one if it is compared with itself
+        for i in np.flatnonzero(root != np.bincount(root).argmax()):
             other = high if block[i] == low else low
-            at = np.flatnonzero((labels != labels[i]) & (block == other) & ((labels == common) | (docs > docs[i])))
-            at = at[(start[at] == start[i]).sum(axis=1) >= first_least]
-            at = at[(signatures[at] == signatures[i]).sum(axis=1) >= least]
-            a.append(np.full(len(at), docs[i]))
-            b.append(docs[at])
+            own = which[bounds[i] : bounds[i + 1]]
+            marked[own] = True
+            common = np.add.reduceat(marked[which], bounds[:-1])
+            marked[own] = False
+            near = (100 * common >= percent * (n + n[i] - common)) & (root != root[i]) & (block == other)
+            found, at = np.unique(root[near], return_index=True)
+            if len(found):
+                a.append(np.full(len(found), docs[i]))
+                b.append(docs[near][at])
+                root[np.isin(root, found)] = root[i]
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return pairs
+    return forest
 
 
 def _alike(least: int):
@@ -167,27 +146,25 @@ class _Verifier:
         deviation = (similarity * (1 - similarity) * minima) ** 0.5
         self.least = max(0, int(similarity * minima - SLACK * deviation))
 
-    def left(self, placed: DataFrame, sizes: DataFrame) -> DataFrame:
-        """Pairs that share a bucket, not a label, and may be similar; ``placed`` has (bucket, doc, label), ``sizes`` (bucket, all)."""
+    def left(self, placed: DataFrame, sizes: DataFrame, tested: DataFrame) -> DataFrame:
+        """Links (a, b) that join the labels of each bucket as far as sets allow; ``placed`` has (bucket, doc, label), ``sizes`` (bucket, all)."""
         rows = placed.join(sizes, "bucket")
         few = rows.where(F.col("all") <= LARGE)
         one = few.select("bucket", F.col("doc").alias("a"), F.col("label").alias("_la"))
         two = few.select("bucket", F.col("doc").alias("b"), F.col("label").alias("_lb"))
         met = one.join(two, "bucket").where("_la < _lb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        small = self.links(settle(met.distinct().join(tested, ["a", "b"], "left_anti"), "tested"))
 
-        many = settle(rows.where(F.col("all") > LARGE), "large")
-        sets = self.sets.join(many.select("doc").distinct(), "doc", "left_semi")
-        signed = settle(sets.mapInArrow(_long_signer(), "doc bigint, long binary").dropDuplicates(["doc"]), "long")
-        many = many.withColumn("blocks", F.ceil(F.col("all") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("doc"), "blocks"))
+        many = rows.where(F.col("all") > LARGE).withColumn("blocks", F.ceil(F.col("all") / BLOCK))
+        many = many.withColumn("block", F.pmod(F.xxhash64("doc"), "blocks"))
         many = many.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
             "bucket", "doc", "label", "block", F.least("block", "_other").alias("_low"), F.greatest("block", "_other").alias("_high")
         )
-        deviation = (self.similarity * (1 - self.similarity)) ** 0.5
-        least, first_least = [
-            max(0, int(n * self.similarity - slack * deviation * n**0.5)) for n, slack in ((LONG, LONG_SLACK), (LONG // 8, SLACK))
-        ]
-        found = many.join(signed, "doc").groupBy("bucket", "_low", "_high").applyInPandas(_apart(least, first_least), "a bigint, b bigint")
-        return met.union(found).distinct()
+        sets = self.sets.withColumn("n", F.size("shingles").cast("bigint"))
+        found = many.join(sets, "doc").groupBy("bucket", "_low", "_high").applyInPandas(
+            _apart(round(self.similarity * 100)), "a bigint, b bigint"
+        )
+        return small.union(found)
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets are similar enough."""
@@ -232,10 +209,9 @@ def near_duplicates(
     gives no rows; other columns are not looked at.
 
     Documents with equal sets are one before banding. In every bucket all members are tested against
-    one leader, and members that stay apart against a second one. Pairs that still share a bucket without being joined are
-    sought in blocks by a longer signature, and tested too. A pair joined through others needs no test, so a group of n near
-    copies takes about n tests, and no step hands on all pairs of a bucket. A test compares sizes, then signatures (a pair at
-    the threshold falls short with probability below 1e-5), then the full sets.
+    the one with the smallest id: by sizes, then signatures (a pair at the threshold falls short with probability below
+    1e-6), then the full sets. In buckets that this leaves in parts, the parts are compared by full sets, in blocks of
+    bounded size. Members already joined are not compared, and a block hands on a forest of links, never all its pairs.
     """
     docs = docs.select("doc_id", "text")
     signed = docs.mapInArrow(
@@ -253,26 +229,11 @@ def near_duplicates(
 
     tested = settle(members.where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")).distinct(), "tested")
     links = settle(verifier.links(tested), "links")
-    members = members.drop("leader")
-    for turn in range(1, LEADER_ROUNDS + 1):
-        placed = members.join(partial(links).withColumnRenamed("node", "doc"), "doc", "left")
-        placed = settle(placed.withColumn("label", F.coalesce("label", "doc")), "members")
-        sizes = placed.groupBy("bucket").agg(F.count("*").alias("all"), F.min("label").alias("_first"), F.max("label").alias("_last"))
-        sizes = settle(sizes.where("_first < _last").select("bucket", "all"), "mixed")
-        if sizes.isEmpty():
-            break
-        if turn < LEADER_ROUNDS:
-            placed = placed.join(sizes.select("bucket"), "bucket", "left_semi")
-            leader = F.min(F.struct(F.xxhash64("doc", "bucket"), "doc", "label")).alias("s")
-            leaders = placed.groupBy("bucket").agg(leader).select("bucket", F.col("s.doc").alias("a"), F.col("s.label").alias("_l"))
-            met = placed.join(leaders, "bucket").where("label <> _l")
-            met = met.select(F.least("a", "doc").alias("a"), F.greatest("a", "doc").alias("b")).distinct()
-            members = placed.select("bucket", "doc")
-        else:
-            met = verifier.left(placed, sizes)
-        fresh = settle(met.join(tested, ["a", "b"], "left_anti"), "tested")
-        links = links.union(settle(verifier.links(fresh), "links"))
-        tested = tested.union(fresh)
+    placed = members.join(partial(links).withColumnRenamed("node", "doc"), "doc", "left")
+    placed = settle(placed.select("bucket", "doc", F.coalesce("label", "doc").alias("label")), "members")
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("all"), F.min("label").alias("_first"), F.max("label").alias("_last"))
+    sizes = sizes.where("_first < _last").select("bucket", "all")
+    links = links.union(settle(verifier.left(placed, sizes, tested), "links"))
 
     joined = components(links).withColumnRenamed("node", "doc_id")
     whole = classes.join(joined, "doc_id", "left").select(*key, F.coalesce("component", "doc_id").alias("component_id"))
