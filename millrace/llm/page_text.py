@@ -177,10 +177,20 @@ class Page:
         if tag in BLOCKS:
             self._flush(stack[-1])
 
+    def main_blocks(self) -> tuple[int, list[tuple[int, str, int]]]:
+        """The blocks of the highest level that the page has, and that level."""
+        level = max((b[0] for b in self.blocks), default=0)
+        return level, [b for b in self.blocks if b[0] == level]
+
     def text(self, templates: set[int]) -> str:
         """The blocks of the main content, or of the whole page where none is marked, without templates."""
-        deleted: list[bool] = []
-        for key, parent in zip(self.keys, self.parents):
-            deleted.append(key in templates or (parent >= 0 and deleted[parent]))
-        level = max((b[0] for b in self.blocks), default=0)
-        return "\n".join(t for own, t, e in self.blocks if own == level and not (e >= 0 and deleted[e]))
+        _, blocks = self.main_blocks()
+        return without([b[1] for b in blocks], [b[2] for b in blocks], self.keys, self.parents, templates)
+
+
+def without(texts, elements, keys, parents, templates: set[int]) -> str:
+    """Block texts that lie in no template, joined by newlines."""
+    deleted: list[bool] = []
+    for key, parent in zip(keys, parents):
+        deleted.append(key in templates or (parent >= 0 and deleted[parent]))
+    return "\n".join(t for t, e in zip(texts, elements) if not (e >= 0 and deleted[e]))

@@ -14,36 +14,60 @@ from pyspark.sql import functions as F
 
 from .bloom_cascade import host_and_path
 from .common import settle
-from .page_text import Page
+from .page_text import Page, without
 
 #: Pages, and share of a host's pages, on which a template recurs at least.
 MIN_PAGES, MIN_SHARE = 10, 0.01
 
 
+_KEYS = pa.schema([("row", pa.binary()), ("host", pa.int64()), ("keys", pa.list_(pa.int64()))])
+_BLOCKS = pa.schema([
+    ("row", pa.binary()), ("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("texts", pa.list_(pa.string())),
+    ("elements", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64())), ("parents", pa.list_(pa.int32())),
+])
+_TEXTS = pa.schema([
+    ("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_templates", pa.int64()),
+])
+
+
+def _signed(keys: list[int]) -> np.ndarray:
+    return np.array(keys, np.uint64).view(np.int64)
+
+
 def _keys(batches):
     """Hashes of the subtrees of each page."""
-    schema = pa.schema([("row", pa.string()), ("host", pa.string()), ("keys", pa.list_(pa.int64()))])
     for batch in batches:
-        found = [
-            np.array(sorted(set(Page(h).keys) - {0}), np.uint64).view(np.int64) for h in batch.column("html").to_pylist()
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), batch.column("host"), pa.array(found, pa.list_(pa.int64()))], schema=schema
-        )
-
-
-def _extract(batches):
-    schema = pa.schema([
-        ("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_templates", pa.int64()),
-    ])
-    mask = (1 << 64) - 1
+        found = [_signed(sorted(set(Page(h).keys) - {0})) for h in batch.column("html").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("host"), pa.array(found, pa.list_(pa.int64()))], schema=_KEYS)
+
+
+def _parse(batches):
+    """The text of pages whose main content is marked; the blocks and subtrees of the others."""
+    for batch in batches:
+        rows: list[tuple] = []
+        for h in batch.column("html").to_pylist():
+            page = Page(h)
+            level, blocks = page.main_blocks()
+            if level or not blocks:
+                rows.append(("\n".join(b[1] for b in blocks), None, None, None, None))
+            else:
+                rows.append((None, [b[1] for b in blocks], [b[2] for b in blocks], _signed(page.keys), page.parents))
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), list(_BLOCKS)[3:])]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "page_id", "url")), *columns], schema=_BLOCKS)
+
+
+def _delete(batches):
+    """Texts without the subtrees found to be templates."""
     for batch in batches:
-        deleted = [{k & mask for k in keys or ()} for keys in batch.column("deleted").to_pylist()]
-        texts = [Page(h).text(d) for h, d in zip(batch.column("html").to_pylist(), deleted)]
+        texts, counts = [], []
+        for r in batch.select(["text", "texts", "elements", "keys", "parents", "deleted"]).to_pylist():
+            deleted = set(r["deleted"] or ())
+            texts.append(r["text"] if r["texts"] is None else without(r["texts"], r["elements"], r["keys"], r["parents"], deleted))
+            counts.append(len(deleted))
         yield pa.RecordBatch.from_arrays([
             batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
-            pa.array([len(t) for t in texts], pa.int64()), pa.array([len(d) for d in deleted], pa.int64()),
-        ], schema=schema)
+            pa.array([len(t) for t in texts], pa.int64()), pa.array(counts, pa.int64()),
+        ], schema=_TEXTS)
 
 
 def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -57,21 +81,23 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     empty text. Pages without a host (no ``://``) count as one host. Repeated rows count as pages and are all
     returned; an empty table gives no rows; other columns are not looked at.
 
-    Pages are read twice and shuffled once; counts are combined before the shuffle, and only hashes meet by host.
+    Pages are read twice, their texts shuffled once; counts are combined before the shuffle, and only hashes meet by host.
     """
     host, _ = host_and_path(F.col("url"))
-    text = F.coalesce("html", F.lit(""))
-    row = F.md5(F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.md5(text), F.coalesce("url", F.lit("-"))))
-    pages = pages.select("page_id", "url", text.alias("html"), host.alias("host"), row.alias("row"))
-    keyed = pages.select("row", "host", "html").mapInArrow(_keys, "row string, host string, keys array<bigint>")
+    html = F.coalesce("html", F.lit(""))
+    row = F.md5(F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.md5(html), F.coalesce("url", F.lit("-"))))
+    pages = pages.select("page_id", "url", html.alias("html"), F.xxhash64(host).alias("host"), F.unhex(row).alias("row"))
+    keyed = pages.select("row", "host", "html").mapInArrow(_keys, "row binary, host bigint, keys array<bigint>")
     keyed = settle(keyed, "subtrees")
-    counts = keyed.select("host", F.explode("keys").alias("key")).groupBy("host", "key").count().where(F.col("count") >= min_pages)
+    single = keyed.select("row", "host", F.explode("keys").alias("key"))
+    counts = single.groupBy("host", "key").count().where(F.col("count") >= min_pages)
     sizes = keyed.groupBy("host").agg(F.count("*").alias("pages"))
     templates = counts.join(sizes, "host").where(F.col("count") >= F.col("pages") * min_share).select("host", "key")
-    deleted = (
-        keyed.select("row", "host", F.explode("keys").alias("key")).distinct()
-        .join(templates, ["host", "key"]).groupBy("row").agg(F.collect_set("key").alias("deleted"))
+    deleted = single.join(templates, ["host", "key"]).groupBy("row").agg(F.collect_set("key").alias("deleted"))
+    parsed = pages.select("row", "page_id", "url", "html").mapInArrow(
+        _parse,
+        "row binary, page_id bigint, url string, text string, texts array<string>, elements array<int>, keys array<bigint>, parents array<int>",
+    )
+    return parsed.join(deleted, "row", "left").mapInArrow(
+        _delete, "page_id bigint, url string, text string, n_chars bigint, n_templates bigint"
     )
-    return pages.select("row", "page_id", "url", "html").join(deleted, "row", "left").select(
-        "page_id", "url", "html", "deleted"
-    ).mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint, n_templates bigint")
