@@ -11,6 +11,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,10 @@ from pyspark.sql.types import _parse_datatype_string
 #: White space as the pattern below means it, and the pattern that cuts text into words.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Encoded words, and pairs of tokens, that a task remembers before it starts anew.
-REMEMBERED = 400_000
+#: Encoded words, and pairs of tokens, that a worker remembers at most.
+REMEMBERED = 1_000_000
+#: Steps of the automaton that are kept at most.
+STEPS = 2_000_000
 #: Characters encoded together, so that words meet in one trie.
 BATCH_CHARS = 1 << 22
 
@@ -58,7 +62,8 @@ def read_vocabulary(path: str) -> dict:
     for merge in model["merges"]:
         left, right = merge if isinstance(merge, list) else merge.split(" ")
         merges.append((ids[plain(left)], ids[plain(right)], ids[plain(left) + plain(right)]))
-    return {"ids": ids, "merges": merges, "added": added}
+    digest = hashlib.sha256(json.dumps(file, sort_keys=True).encode()).hexdigest()
+    return {"ids": ids, "merges": merges, "added": added, "digest": digest}
 
 
 class TrieEncoder:
@@ -70,8 +75,7 @@ class TrieEncoder:
         byte_tokens = {t for b, t in vocabulary["ids"].items() if len(b) == 1}
         # tokens that merging can reach; others never stand in an encoding
         self.ids = {b: t for b, t in vocabulary["ids"].items() if t in byte_tokens or t in parts}
-        # what tokens end with: where none ends like this, none reaches further back
-        self.tails = {b[i:] for b in self.ids for i in range(len(b))}
+        self._link()
         self.left_edge: dict[int, list] = {}
         self.right_edge: dict[int, list] = {}
         for t in self.ids.values():
@@ -82,7 +86,43 @@ class TrieEncoder:
                     at = parts[at][side]
                 # from the single byte at the edge up to the token: (token, rank of the merge that ends it)
                 edges[t] = [at, *[x for x, _ in reversed(steps)]], [*[r for _, r in reversed(steps)], _NEVER]
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
+
+    def _link(self) -> None:
+        """An automaton over the tokens: reading bytes, its state tells which tokens end here, longest first."""
+        self.step: dict[int, int] = {}  # state * 256 + byte -> state
+        token_at, depth = [-1], [0]
+        for text, token in self.ids.items():
+            at = 0
+            for byte in text:
+                after = self.step.get(at << 8 | byte)
+                if after is None:
+                    after = self.step[at << 8 | byte] = len(token_at)
+                    token_at.append(-1)
+                    depth.append(depth[at] + 1)
+                at = after
+            token_at[at] = token
+        links = sorted((depth[to], key, to) for key, to in self.step.items())
+        self.back = back = [0] * len(token_at)
+        for d, key, to in links:
+            if d > 1:
+                back[to] = self._next(back[key >> 8], key & 255, False)
+        self.ending: list[tuple] = [()] * len(token_at)
+        for d, _, to in links:
+            own = ((d, token_at[to]),) if token_at[to] >= 0 else ()
+            self.ending[to] = own + self.ending[back[to]]
+
+    def _next(self, state: int, byte: int, remember: bool = True) -> int:
+        """The state after a byte: the longest beginning of a token that the text now ends with."""
+        key, found, at = state << 8 | byte, None, state
+        while (found := self.step.get(at << 8 | byte)) is None:
+            if not at:
+                found = 0
+                break
+            at = self.back[at]
+        if remember and len(self.step) < STEPS:
+            self.step[key] = found
+        return found
 
     def _may_follow(self, a: int, b: int) -> bool:
         """Whether merging the bytes of both tokens leaves the border between them."""
@@ -107,35 +147,34 @@ class TrieEncoder:
         The sorted words are the trie in depth-first order: what a word shares with the one before
         is the path both have, and the last tokens along it are still there.
         """
-        ids, pairs, tails = self.ids, self.pairs, self.tails
+        pairs, step, ending = self.pairs, self.step, self.ending
         out: dict[bytes, list[int]] = {}
         path = b""
-        last: list[int] = []  # last token of the beginning that ends at each byte of the path
+        # at each byte of the path: state of the automaton, last token of the beginning that ends here, its length
+        states: list[int] = []
+        last: list[int] = []
         size: list[int] = []
         for word in sorted(words):
             shared, most = 0, min(len(path), len(word))
             while shared < most and path[shared] == word[shared]:
                 shared += 1
-            del last[shared:], size[shared:]
-            for end in range(shared + 1, len(word) + 1):
-                ending = []
-                for start in range(end - 1, -1, -1):
-                    tail = word[start:end]
-                    if tail not in tails:
-                        break
-                    if tail in ids:
-                        ending.append((start, ids[tail]))
-                for start, token in reversed(ending):
-                    if not start:
+            del states[shared:], last[shared:], size[shared:]
+            state = states[-1] if shared else 0
+            for end in range(shared, len(word)):
+                after = step.get(state << 8 | word[end])
+                state = self._next(state, word[end]) if after is None else after
+                states.append(state)
+                for length, token in ending[state]:
+                    if length > end:
                         fits = self._whole(token)
                     else:
-                        pair = (last[start - 1], token)
+                        pair = last[end - length] << 24 | token
                         fits = pairs.get(pair)
                         if fits is None:
-                            fits = pairs[pair] = self._may_follow(*pair)
+                            fits = pairs[pair] = self._may_follow(last[end - length], token)
                     if fits:
                         last.append(token)
-                        size.append(end - start)
+                        size.append(length)
                         break
             path = word
             tokens, end = [], len(word)
@@ -149,7 +188,7 @@ class TrieEncoder:
 
     def _whole(self, token: int) -> bool:
         """Whether merging the token's own bytes gives the token."""
-        key = (token, -1)
+        key = -1 - token
         if key not in self.pairs:
             a, b, _ = self.parts.get(token, (None, None, 0))
             self.pairs[key] = a is None or (self._whole(a) and self._whole(b) and not self._may_follow(a, b))
@@ -166,6 +205,7 @@ class Coder:
         self.special = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.bytes_of = {t: b for b, t in vocabulary["ids"].items()} | {v: k.encode() for k, v in vocabulary["added"].items()}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _runs(self, text: str) -> list[str]:
         """The runs of a text; an added token stands as a run of its own."""
@@ -179,7 +219,11 @@ class Coder:
         return out + _RUN.findall(text[at:])
 
     def _learn(self, runs: set[str]) -> None:
-        words_of = {run: self.word.findall(run) for run in runs if run not in self.added}
+        # letters with a blank before them or none are one word
+        words_of = {
+            run: [run] if (run[1:] if run[0] == " " else run).isalpha() else self.word.findall(run)
+            for run in runs if run not in self.added
+        }
         encoded = self.encoder.encode(list({w.encode() for words in words_of.values() for w in words}))
         packed = {w: np.array(t, "<u4").tobytes() for w, t in encoded.items()}
         for run in runs:
@@ -187,11 +231,14 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        if len(self.known) > REMEMBERED // 2:  # what is met again moves on from the older half
+            self.known, self.older = {}, self.known
         runs = [self._runs(t) for t in texts]
         new = set().union(*runs)
         new.difference_update(self.known)
+        again = new.intersection(self.older)
+        self.known.update(zip(again, map(self.older.__getitem__, again)))
+        new -= again
         if new:
             self._learn(new)
         return [b"".join(map(self.known.__getitem__, r)) for r in runs]
@@ -213,6 +260,16 @@ def _batches(texts: list[str], most: int):
         yield first, len(texts)
 
 
+def _coder(vocabulary: dict) -> Coder:
+    """The worker's coder: what one task learned serves the next ones of the same Python process."""
+    memory = sys.modules.setdefault("_trie_bpe_memory", types.ModuleType("_trie_bpe_memory")).__dict__
+    key = vocabulary["digest"]
+    if key not in memory:
+        memory.clear()
+        memory[key] = Coder(vocabulary)
+    return memory[key]
+
+
 def _per_text(docs: DataFrame, vocabulary_path: str, schema: str, row) -> DataFrame:
     """Applies ``row`` (coder, id, text, packed ids) to every document."""
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
@@ -221,7 +278,7 @@ def _per_text(docs: DataFrame, vocabulary_path: str, schema: str, row) -> DataFr
     def work(batches):
         coder = None
         for batch in batches:
-            coder = coder or Coder(shared.value)
+            coder = coder or _coder(shared.value)
             ids = batch.column("doc_id").to_pylist()
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for first, last in _batches(texts, BATCH_CHARS):
