@@ -80,7 +80,7 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _compare(threshold: float, lists: int, shared: int):
     """Links within one piece of a list: sums for each vector, and a forest that joins what is linked."""
 
-    def compare(key, part: pd.DataFrame) -> pd.DataFrame:
+    def compare(key, part):
         pivot, left_block, right_block = int(key[-3]), int(key[-2]), int(key[-1])
         part = part.sort_values("rep", kind="stable")
         v = np.vstack(part["v"].to_numpy()).astype(np.float64)

@@ -93,7 +93,7 @@ def _bounds(query: np.ndarray, lower: np.ndarray, upper: np.ndarray) -> tuple[np
 
 
 def _scanner(grid, k: int):
-    def scan(key, queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
+    def scan(key, queries, candidates):
         empty = pd.DataFrame({"query": [], "class": [], "low": [], "high": []}).astype({"query": str, "class": str})
         if not len(queries) or not len(candidates):
             return empty
