@@ -263,7 +263,7 @@ def test_least_squares_against_a_plain_solver(spark):
     plain = np.ones(300)
     for _ in range(20_000):
         plain = np.maximum(0, plain - p @ (((p * tokens[:, None]).T @ plain - wanted) / own))
-    assert loss(rate) <= loss(plain) * 1.01 + 1e-4 * total
+    assert loss(rate) <= loss(plain) + 0.002 * loss(np.ones(300))
     gradient = p @ (((p * tokens[:, None]).T @ rate - wanted) / own)
     assert (gradient[rate <= 0] > -0.02).all() and np.abs(gradient[rate > 0.01]).max() < 0.02
 
