@@ -20,6 +20,8 @@ from .common import settle, unit_draw
 #: Labelled documents that the classifier is fitted on at most, those whose ids have the smallest hashes.
 SAMPLE = 12_000
 FEATURES = 1 << 16
+#: Parts in which the sample is trained on.
+TRAINING_PARTS = 6
 #: Steps at most, and the largest miss of a domain, as a share of all wanted tokens, at which they end.
 STEPS, MISS = 60, 1e-4
 
@@ -62,7 +64,8 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -
     if len(domains) < 2:
         return Classifier(domains or ["all"], None)
     number = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")) - 1
-    training = _features(rows).select("features", number.cast("double").alias("label"))
+    # each part sends whole gradients in every iteration, so a sample of bounded size has few parts
+    training = _features(rows).select("features", number.cast("double").alias("label")).coalesce(TRAINING_PARTS)
     model = LogisticRegression(family="multinomial", regParam=0.002, maxIter=40).fit(training)
     return Classifier(domains, model)
 
