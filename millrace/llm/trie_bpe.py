@@ -25,9 +25,9 @@ from pyspark.sql.types import _parse_datatype_string
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Encoded words, and pairs of tokens, that a worker remembers at most.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: Steps of the automaton that are kept at most.
-STEPS = 2_000_000
+STEPS = 400_000
 #: Characters encoded together, so that words meet in one trie.
 BATCH_CHARS = 1 << 22
 
