@@ -1,10 +1,11 @@
-"""The parts of a web page: text blocks in order, and the element subtrees outside its main content."""
+"""The parts of a web page: text blocks in order, and the element subtrees that may be templates."""
 
 from __future__ import annotations
 
 import html
 import re
 
+import numpy as np
 import xxhash
 
 #: Elements whose content is no text of the page.
@@ -33,6 +34,8 @@ CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "tbody": {"tr", "td", "th", "thead"}, "tfoot": {"tr", "td", "th", "tbody"},
 }
+#: Parts of lists and tables: within the main content they are judged with their list or table, as a number in a cell recurs by chance.
+CELLS = {"li", "dt", "dd", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "option"}
 STOPS = {"ul", "ol", "dl", "table", "select", "div", "section", "article", "main", "body", "html", "blockquote", "nav", "aside", "menu"}
 
 _TAG = re.compile(
@@ -62,14 +65,16 @@ class Page:
 
     ``blocks`` holds (level, text, element): level 2 inside an article, 1 inside a main element, else 0;
     ``element`` is the nearest subtree around it that may be a template, or -1. ``keys`` and ``parents`` describe
-    those subtrees in the order of their start tags: block elements outside article and main, with a hash of all they hold
-    (0 for one that holds no text, or an article or main element).
+    those subtrees in the order of their start tags: block elements, with a hash of all they hold (0 for one that holds no
+    text, or the article or main element), another one within the main content than outside it. ``levels`` tells the level
+    each stands in, -1 where it is left out.
     """
 
     def __init__(self, source: str):
         self.blocks: list[tuple[int, str, int]] = []
         self.keys: list[int] = []
         self.parents: list[int] = []
+        self.levels: list[int] = []
         self._source = source
         self._read()
 
@@ -145,15 +150,14 @@ class Page:
         if out or left_out:
             out = True
         elif tag == "article" or (level < 1 and (tag == "main" or (attributes and _MAIN.search(attributes)))):
-            level = 2 if tag == "article" else 1
-            while subtree >= 0:
+            while level < 2 and subtree >= 0 and not sums[subtree][2]:
                 sums[subtree][2] = True
                 subtree = self.parents[subtree]
-        if level:
-            subtree = -1
-        elif block and tag not in ("html", "body"):
+            level = 2 if tag == "article" else 1
+        if block and tag not in ("html", "body") and not (level and tag in CELLS):
             self.parents.append(subtree)
-            sums.append([xxhash.xxh3_64_intdigest(f"{tag} {attributes.strip()}"), False, False])
+            self.levels.append(-1 if out else level)
+            sums.append([xxhash.xxh3_64_intdigest(f"{'in ' if level else ''}{tag} {attributes.strip()}"), False, False])
             subtree = len(sums) - 1
         stack.append([tag, out, level, subtree])
 
@@ -182,12 +186,50 @@ class Page:
         level = max((b[0] for b in self.blocks), default=0)
         return level, [b for b in self.blocks if b[0] == level]
 
+    def main_level(self) -> int:
+        return self.main_blocks()[0]
+
+    def subtrees(self) -> tuple[set[int], set[int]]:
+        """Hashes of the subtrees that hold a part of the text, and of the others."""
+        level = self.main_level()
+        within = {k for k, at in zip(self.keys, self.levels) if k and at == level}
+        return within, set(self.keys) - within - {0}
+
     def text(self, templates: set[int]) -> str:
         """The blocks of the main content, or of the whole page where none is marked, without templates."""
         _, blocks = self.main_blocks()
         return without([b[1] for b in blocks], [b[2] for b in blocks], self.keys, self.parents, templates)
 
 
+def sketch(text: str, size: int, width: int = 12) -> list[int]:
+    """The ``size`` smallest hashes of the runs of ``width`` characters, each once: a sample of what a text holds."""
+    least = np.empty(0, np.uint64)
+    step = 1 << 20
+    for at in range(0, max(len(text) - width, 0) + 1, step):
+        runs = np.frombuffer(text[at:at + step + width - 1].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        count = max(len(runs) - width + 1, 1)
+        found = np.zeros(count, np.uint64)
+        for i in range(min(width, len(runs))):
+            found = found * np.uint64(0x9E3779B97F4A7C15) + runs[i:i + count]
+        found ^= found >> np.uint64(31)
+        found *= np.uint64(0xBF58476D1CE4E5B9)
+        found ^= found >> np.uint64(29)
+        if len(runs):
+            least = np.unique(np.concatenate([least, np.unique(found)[:size]]))[:size]
+    return least.tolist()
+
+
+def used(elements, keys, parents) -> tuple[list[int], list[int], list[int]]:
+    """The subtrees that lie around the given ones, and the given ones, numbered anew."""
+    wanted: set[int] = set()
+    for e in elements:
+        while e >= 0 and e not in wanted:
+            wanted.add(e)
+            e = parents[e]
+    place = {-1: -1} | {e: i for i, e in enumerate(sorted(wanted))}
+    return [place[e] for e in elements], [keys[e] for e in sorted(wanted)], [place[parents[e]] for e in sorted(wanted)]
+
+
 def without(texts, elements, keys, parents, templates: set[int]) -> str:
     """Block texts that lie in no template, joined by newlines."""
     deleted: list[bool] = []

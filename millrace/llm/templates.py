@@ -1,28 +1,34 @@
 """Main text of web pages, without the templates of their sites.
 
-Element subtrees outside a page's article are hashed and counted by host; a subtree that recurs on many
-pages of its host is a template and deleted. Menus, headers, footers, adverts, forms, scripts, comments
-and other parts named as such go as well, so that a page that is alone on its host loses them too.
+Element subtrees, within a page's article as well, are hashed and counted by host; a subtree that recurs on many
+pages of its host whose text otherwise differs is a template and deleted. Menus, headers, footers, adverts, forms, scripts,
+comments and other parts named as such go as well, so that a page that is alone on its host loses them too.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom_cascade import host_and_path
 from .common import settle
-from .page_text import Page, without
+from .page_text import Page, sketch, used, without
 
-#: Pages, and share of a host's pages, on which a template recurs at least.
+#: Different pages, and share of a host's pages, on which a template recurs at least.
 MIN_PAGES, MIN_SHARE = 10, 0.01
 
+#: Hashes of runs of characters kept of each page, and the share of them that must be the page's own for it to tell templates.
+SKETCH, OWN_SHARE = 32, 1 / 3
 
-_KEYS = pa.schema([("row", pa.binary()), ("host", pa.int64()), ("keys", pa.list_(pa.int64()))])
+_KEYS = pa.schema([
+    ("row", pa.binary()), ("host", pa.int64()), ("page", pa.int64()),
+    *[(c, pa.list_(pa.int64())) for c in ("keys", "others", "sample")],
+])
 _BLOCKS = pa.schema([
-    ("row", pa.binary()), ("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("texts", pa.list_(pa.string())),
+    ("row", pa.binary()), ("page_id", pa.int64()), ("url", pa.string()), ("texts", pa.list_(pa.string())),
     ("elements", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64())), ("parents", pa.list_(pa.int32())),
 ])
 _TEXTS = pa.schema([
@@ -30,28 +36,33 @@ _TEXTS = pa.schema([
 ])
 
 
-def _signed(keys: list[int]) -> np.ndarray:
-    return np.array(keys, np.uint64).view(np.int64)
+def _signed(keys) -> np.ndarray:
+    return np.array(list(keys), np.uint64).view(np.int64)
 
 
 def _keys(batches):
-    """Hashes of the subtrees of each page."""
+    """Of each page a hash and a sample of its main content, and the hashes of the subtrees in it and outside it."""
     for batch in batches:
-        found = [_signed(sorted(set(Page(h).keys) - {0})) for h in batch.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("host"), pa.array(found, pa.list_(pa.int64()))], schema=_KEYS)
+        rows: list[tuple] = []
+        for h in batch.column("html").to_pylist():
+            page = Page(h)
+            text = page.text(set())
+            within, others = page.subtrees()
+            digest = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+            rows.append((_signed([digest])[0], _signed(sorted(within)), _signed(sorted(others)), _signed(sketch(text, SKETCH))))
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), list(_KEYS)[2:])]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("host"), *columns], schema=_KEYS)
 
 
 def _parse(batches):
-    """The text of pages whose main content is marked; the blocks and subtrees of the others."""
+    """The blocks of the main content, and the subtrees that hold them."""
     for batch in batches:
         rows: list[tuple] = []
         for h in batch.column("html").to_pylist():
             page = Page(h)
-            level, blocks = page.main_blocks()
-            if level or not blocks:
-                rows.append(("\n".join(b[1] for b in blocks), None, None, None, None))
-            else:
-                rows.append((None, [b[1] for b in blocks], [b[2] for b in blocks], _signed(page.keys), page.parents))
+            _, blocks = page.main_blocks()
+            elements, keys, parents = used([b[2] for b in blocks], page.keys, page.parents)
+            rows.append(([b[1] for b in blocks], elements, _signed(keys), parents))
         columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), list(_BLOCKS)[3:])]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "page_id", "url")), *columns], schema=_BLOCKS)
 
@@ -59,26 +70,55 @@ def _parse(batches):
 def _delete(batches):
     """Texts without the subtrees found to be templates."""
     for batch in batches:
-        texts, counts = [], []
-        for r in batch.select(["text", "texts", "elements", "keys", "parents", "deleted"]).to_pylist():
-            deleted = set(r["deleted"] or ())
-            texts.append(r["text"] if r["texts"] is None else without(r["texts"], r["elements"], r["keys"], r["parents"], deleted))
-            counts.append(len(deleted))
+        texts = []
+        for r in batch.select(["texts", "elements", "keys", "parents", "deleted"]).to_pylist():
+            texts.append(without(r["texts"], r["elements"], r["keys"], r["parents"], set(r["deleted"] or ())))
         yield pa.RecordBatch.from_arrays([
             batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
-            pa.array([len(t) for t in texts], pa.int64()), pa.array(counts, pa.int64()),
+            pa.array([len(t) for t in texts], pa.int64()), batch.column("n_templates"),
         ], schema=_TEXTS)
 
 
+def _templates(keyed: DataFrame, min_pages: int, min_share: float) -> DataFrame:
+    """(row, deleted, n_templates): the templates in each page's text, and how many recurring subtrees it has."""
+    subtrees = F.concat("keys", "others")
+    single = keyed.select("host", "page", F.explode(F.concat(subtrees, "sample")).alias("key"))
+    counts = single.groupBy("host", "key").agg(F.count("*").alias("rows"), F.count_distinct("page").alias("pages"))
+    counts = counts.where(F.col("rows") >= min_pages)
+    # what each page has in common with others: on as many rows, and on as many different pages
+    met = keyed.select("row", "host", F.explode(F.concat(subtrees, "sample")).alias("key")).join(counts, ["host", "key"])
+    met = met.groupBy("row").agg(
+        F.collect_set("key").alias("often"), F.collect_set(F.when(F.col("pages") >= min_pages, F.col("key"))).alias("shared")
+    )
+    met = keyed.join(met, "row").dropDuplicates(["row"])
+    own = F.array_except("sample", "shared")
+    met = met.select(
+        "row", "host", F.array_intersect("keys", "shared").alias("inside"), F.array_intersect(subtrees, "shared").alias("shared"),
+        F.array_intersect("others", "often").alias("others"),
+        F.when(F.size(own) >= F.greatest(F.lit(1), F.size("sample") * OWN_SHARE), F.array_min(own)).alias("own"),
+    )
+    met = settle(met, "shared_subtrees")
+    # pages with equal text besides count once; copies and near copies have nothing, or too little, of their own
+    told = met.where("own IS NOT NULL").select("host", F.explode("shared").alias("key"), "own")
+    told = told.groupBy("host", "key").agg(F.count_distinct("own").alias("pages")).where(F.col("pages") >= min_pages)
+    sizes = keyed.groupBy("host").agg(F.count("*").alias("all"))
+    told = told.join(sizes, "host").where(F.col("pages") >= F.col("all") * min_share)
+    deleted = met.select("row", "host", F.explode("inside").alias("key")).join(told.select("host", "key"), ["host", "key"])
+    deleted = deleted.groupBy("row").agg(F.collect_set("key").alias("deleted"))
+    count = F.size("others") + F.coalesce(F.size("deleted"), F.lit(0))
+    return met.join(deleted, "row", "left").select("row", "deleted", count.cast("bigint").alias("n_templates"))
+
+
 def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(page_id, url, text, n_chars, n_templates) of every row of ``pages`` (page_id, url, html).
 
     ``text`` is the article's blocks in page order, joined by newlines: character references decoded,
     white space within a block one blank, ends trimmed. Where the page marks no article, the main
-    element counts, and without that the whole page. ``n_templates`` counts the subtrees deleted as recurring
-    (at least ``min_pages`` pages and ``min_share`` of the host's). Text within an article is never taken for a template,
-    however often it recurs: copied articles are kept. A NULL or empty html, and a page of nothing but templates, has the
-    empty text. Pages without a host (no ``://``) count as one host. Repeated rows count as pages and are all
+    element counts, and without that the whole page. A subtree of the text, also within an article, is a template and deleted
+    where it stands on at least ``min_pages`` pages and ``min_share`` of the host's that differ in the rest: pages whose own text, found on fewer
+    pages, is a third of theirs at least, and not equal. So copied and nearly copied pages are kept however often they recur. ``n_templates`` counts the subtrees deleted, and those outside the text
+    that recur on ``min_pages`` rows. A NULL or empty html, and a page of nothing but templates, has the
+    empty text. Pages without a host (no ``://``) count as one host. Repeated rows are all
     returned; an empty table gives no rows; other columns are not looked at.
 
     Pages are read twice, their texts shuffled once; counts are combined before the shuffle, and only hashes meet by host.
@@ -87,17 +127,12 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     html = F.coalesce("html", F.lit(""))
     row = F.md5(F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.md5(html), F.coalesce("url", F.lit("-"))))
     pages = pages.select("page_id", "url", html.alias("html"), F.xxhash64(host).alias("host"), F.unhex(row).alias("row"))
-    keyed = pages.select("row", "host", "html").mapInArrow(_keys, "row binary, host bigint, keys array<bigint>")
-    keyed = settle(keyed, "subtrees")
-    single = keyed.select("row", "host", F.explode("keys").alias("key"))
-    counts = single.groupBy("host", "key").count().where(F.col("count") >= min_pages)
-    sizes = keyed.groupBy("host").agg(F.count("*").alias("pages"))
-    templates = counts.join(sizes, "host").where(F.col("count") >= F.col("pages") * min_share).select("host", "key")
-    deleted = single.join(templates, ["host", "key"]).groupBy("row").agg(F.collect_set("key").alias("deleted"))
-    parsed = pages.select("row", "page_id", "url", "html").mapInArrow(
-        _parse,
-        "row binary, page_id bigint, url string, text string, texts array<string>, elements array<int>, keys array<bigint>, parents array<int>",
+    keyed = pages.select("row", "host", "html").mapInArrow(
+        _keys, "row binary, host bigint, page bigint, keys array<bigint>, others array<bigint>, sample array<bigint>"
     )
-    return parsed.join(deleted, "row", "left").mapInArrow(
-        _delete, "page_id bigint, url string, text string, n_chars bigint, n_templates bigint"
+    templates = _templates(settle(keyed, "subtrees"), min_pages, min_share)
+    parsed = pages.select("row", "page_id", "url", "html").mapInArrow(
+        _parse, "row binary, page_id bigint, url string, texts array<string>, elements array<int>, keys array<bigint>, parents array<int>"
     )
+    joined = parsed.join(templates, "row", "left").withColumn("n_templates", F.coalesce("n_templates", F.lit(0).cast("bigint")))
+    return joined.mapInArrow(_delete, "page_id bigint, url string, text string, n_chars bigint, n_templates bigint")

@@ -2,6 +2,7 @@
 
 import gzip
 import os
+import random
 
 import pytest
 
@@ -73,6 +74,34 @@ def test_text_copied_within_articles_stays(spark):
     assert {r["text"] for r in got} == {"The same everywhere"} and {r["n_templates"] for r in got} == {1}
 
 
+def words(seed, n=60):
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+
+
+def texts(spark, rows):
+    return {r["page_id"]: r["text"] for r in templates.extract_text(site(spark, rows)).collect()}
+
+
+def test_boxes_recurring_within_articles_go(spark):
+    box = "<div class='c7'><h3>Our letter</h3><p>Every Monday by mail</p></div>"
+    page = "<article><h1>Title {0}</h1><p>{1}</p>" + box + "<ul><li>yes</li><li>{0}</li></ul><p>{2}</p></article>"
+    rows = [(i, "http://a.org/", page.format(i, words(i), words(1000 + i))) for i in range(12)]
+    rows += [(100 + i, "http://b.org/", page.format(i, words(i), words(1000 + i))) for i in range(9)]
+    # many rows of one article, with the box, and near copies of it, each with another word changed
+    rows += [(200 + i, "http://a.org/", page.format("x", words(500), words(501))) for i in range(30)]
+    long = [words(600 + k, 30) for k in range(20)]
+    for i in range(30):
+        copy = [p.replace(p[:6], f"changed{i}") if k == i % 20 else p for k, p in enumerate(long)]
+        rows.append((300 + i, "http://a.org/", "<article>" + "".join(f"<p>{p}</p>" for p in copy) + box + "</article>"))
+    got = texts(spark, rows)
+    for i in range(12):
+        assert got[i] == f"Title {i}\n{words(i)}\nyes\n{i}\n{words(1000 + i)}"
+    assert "Every Monday by mail" in got[103]
+    assert got[229] == f"Title x\n{words(500)}\nyes\nx\n{words(501)}"
+    assert all(len(got[300 + i].split("\n")) == 20 and f"changed{i}" in got[300 + i] for i in range(30))
+
+
 # archives
 
 PAGES = [(i, f"http://h{i % 3}.org/ä {i}", f"<p>{'text ' * (i % 50)}{i % 17}</p>\r\n\r\n") for i in range(200)] + [
