@@ -17,8 +17,8 @@ from .bloom_cascade import host_and_path
 from .common import settle
 from .page_text import Page, sketch, used, without
 
-#: Different pages, and share of a host's pages, on which a template recurs at least.
-MIN_PAGES, MIN_SHARE = 10, 0.01
+#: Different pages of a host on which a template recurs at least.
+MIN_PAGES = 10
 
 #: Hashes of runs of characters kept of each page, and the share of them that must be the page's own for it to tell templates.
 SKETCH, OWN_SHARE = 32, 1 / 3
@@ -79,7 +79,7 @@ def _delete(batches):
         ], schema=_TEXTS)
 
 
-def _templates(keyed: DataFrame, min_pages: int, min_share: float) -> DataFrame:
+def _templates(keyed: DataFrame, min_pages: int) -> DataFrame:
     """(row, deleted, n_templates): the templates in each page's text, and how many recurring subtrees it has."""
     subtrees = F.concat("keys", "others")
     single = keyed.select("host", "page", F.explode(F.concat(subtrees, "sample")).alias("key"))
@@ -101,22 +101,21 @@ def _templates(keyed: DataFrame, min_pages: int, min_share: float) -> DataFrame:
     # pages with equal text besides count once; copies and near copies have nothing, or too little, of their own
     told = met.where("own IS NOT NULL").select("host", F.explode("shared").alias("key"), "own")
     told = told.groupBy("host", "key").agg(F.count_distinct("own").alias("pages")).where(F.col("pages") >= min_pages)
-    sizes = keyed.groupBy("host").agg(F.count("*").alias("all"))
-    told = told.join(sizes, "host").where(F.col("pages") >= F.col("all") * min_share)
     deleted = met.select("row", "host", F.explode("inside").alias("key")).join(told.select("host", "key"), ["host", "key"])
     deleted = deleted.groupBy("row").agg(F.collect_set("key").alias("deleted"))
     count = F.size("others") + F.coalesce(F.size("deleted"), F.lit(0))
     return met.join(deleted, "row", "left").select("row", "deleted", count.cast("bigint").alias("n_templates"))
 
 
-def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars, n_templates) of every row of ``pages`` (page_id, url, html).
 
     ``text`` is the article's blocks in page order, joined by newlines: character references decoded,
     white space within a block one blank, ends trimmed. Where the page marks no article, the main
     element counts, and without that the whole page. A subtree of the text, also within an article, is a template and deleted
-    where it stands on at least ``min_pages`` pages and ``min_share`` of the host's that differ in the rest: pages whose own text, found on fewer
-    pages, is a third of theirs at least, and not equal. So copied and nearly copied pages are kept however often they recur. ``n_templates`` counts the subtrees deleted, and those outside the text
+    where it stands on at least ``min_pages`` pages of the host that differ in the rest: pages whose own text, found on fewer
+    pages, is a third of theirs at least, and not equal. So copied and nearly copied pages are kept however often they recur,
+    and the size of the host decides nothing. ``n_templates`` counts the subtrees deleted, and those outside the text
     that recur on ``min_pages`` rows. A NULL or empty html, and a page of nothing but templates, has the
     empty text. Pages without a host (no ``://``) count as one host. Repeated rows are all
     returned; an empty table gives no rows; other columns are not looked at.
@@ -130,7 +129,7 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     keyed = pages.select("row", "host", "html").mapInArrow(
         _keys, "row binary, host bigint, page bigint, keys array<bigint>, others array<bigint>, sample array<bigint>"
     )
-    templates = _templates(settle(keyed, "subtrees"), min_pages, min_share)
+    templates = _templates(settle(keyed, "subtrees"), min_pages)
     parsed = pages.select("row", "page_id", "url", "html").mapInArrow(
         _parse, "row binary, page_id bigint, url string, texts array<string>, elements array<int>, keys array<bigint>, parents array<int>"
     )

@@ -102,6 +102,25 @@ def test_boxes_recurring_within_articles_go(spark):
     assert all(len(got[300 + i].split("\n")) == 20 and f"changed{i}" in got[300 + i] for i in range(30))
 
 
+def test_copies_of_pages_without_an_article_stay(spark):
+    page = "<body><div><p>Sections A to Z</p></div><h2>{0}</h2><p>{1}</p></body>"
+    rows = [(i, "http://a.org/", page.format("same", words(1))) for i in range(25)]
+    assert set(texts(spark, rows).values()) == {f"Sections A to Z\nsame\n{words(1)}"}
+    rows += [(100 + i, "http://a.org/", page.format(f"near {i}", words(1))) for i in range(25)]
+    assert all("Sections A to Z" in t and words(1) in t for t in texts(spark, rows).values())
+    rows += [(200 + i, "http://a.org/", page.format(f"own {i}", words(50 + i))) for i in range(12)]
+    got = texts(spark, rows)
+    assert got[3] == f"same\n{words(1)}" and got[104] == f"near 4\n{words(1)}" and got[205] == f"own 5\n{words(55)}"
+
+
+def test_the_size_of_a_host_decides_nothing(spark):
+    """Twelve pages with a menu among 1,500 others of the host."""
+    rows = [(i, "http://a.org/", f"<body><div class='m'><p>Menu of sports</p></div><p>{words(i, 12)}</p></body>") for i in range(12)]
+    rows += [(100 + i, "http://a.org/", f"<body><p>{words(100 + i, 12)}</p></body>") for i in range(1500)]
+    got = texts(spark, rows)
+    assert all(got[i] == words(i, 12) for i in range(12)) and got[105] == words(105, 12)
+
+
 # archives
 
 PAGES = [(i, f"http://h{i % 3}.org/ä {i}", f"<p>{'text ' * (i % 50)}{i % 17}</p>\r\n\r\n") for i in range(200)] + [
