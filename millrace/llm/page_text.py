@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from functools import lru_cache
 
 import numpy as np
 import xxhash
@@ -12,17 +13,22 @@ import xxhash
 RAW = {"script", "style", "title", "textarea", "iframe", "xmp", "noembed", "noframes"}
 #: Elements left out with all they hold.
 LEFT_OUT = {
-    "head", "nav", "header", "footer", "aside", "form", "noscript", "template", "menu", "dialog", "button", "select",
+    "head", "nav", "header", "footer", "aside", "noscript", "template", "menu", "dialog", "button", "select",
     "object", "svg", "canvas", "audio", "video", "map",
 }
-#: Words of a class, id or role that mark what is left out.
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
+#: Whole names in a class, id or role that mark what is left out; what has other names is left to the counts by host.
 MARKS = {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion",
+    "ad", "ads", "ad-box", "ad-slot", "ad-banner", "ad-container", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion",
     "banner", "cookie", "cookies", "consent", "notice", "notices", "alert", "popup", "modal", "overlay",
     "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "pagination", "toolbar", "topbar", "masthead",
     "header", "footer", "sidebar", "widget", "complementary", "contentinfo", "search", "newsletter", "subscribe", "signup", "login",
-    "comment", "comments", "disqus", "replies", "share", "sharing", "social", "related", "recommended",
+    "share", "sharing", "social", "related", "recommended",
 }
+#: Names of readers' comments, whose articles are no main content.
+COMMENTS = {"comment", "comments", "user-comment", "user-comments", "comment-list", "commentlist", "disqus", "disqus_thread", "replies"}
+#: What leaves an element out: a form or a name yields to main content inside it.
+FORM, NAME, SURE = 1, 2, 3
 VOID = {"br", "img", "hr", "input", "meta", "link", "source", "wbr", "col", "area", "base", "embed", "track", "param"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "caption", "dd", "details", "dialog", "div", "dl", "dt", "fieldset",
@@ -43,27 +49,44 @@ _TAG = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))|[^>])*+)(?:>|\Z)""",
     re.S,
 )
-_MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)""", re.I)
-_MAIN = re.compile(r"""role\s*=\s*["']?main\b""", re.I)
-_WORDS = re.compile(r"[^a-z0-9]+")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>]+)))?""")
 _MASK = (1 << 64) - 1
 
 
-def _marked(attributes: str) -> bool:
-    if not attributes:
-        return False
-    for found in _MARKED.finditer(attributes):
-        value = (found[1] or found[2] or found[3] or "").lower()
-        if MARKS.intersection(_WORDS.split(value)):
-            return True
-    return bool(_HIDDEN.search(attributes))
+@lru_cache(maxsize=4096)
+def _marks(attributes: str) -> tuple[frozenset[str], bool, bool]:
+    """The names of an element's class, id and role; whether it is hidden, and whether its role is main."""
+    names: set[str] = set()
+    hidden = main = False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name in ("class", "id", "role"):
+            value = "".join(values).lower().split()
+            names.update(value)
+            main |= name == "role" and "main" in value
+        hidden |= name == "hidden"
+    return frozenset(names), hidden, main
+
+
+def _left_out(tag: str, attributes: str, level: int) -> int:
+    """What leaves an element out, or 0."""
+    # what heads or ends an article's own text is part of it; the page's header and footer are not
+    if tag in LEFT_OUT and not (tag == "header" and level == 2):
+        return SURE
+    names, hidden, _ = _marks(attributes) if attributes and tag not in ("html", "body") else (frozenset(), False, False)
+    if hidden or names & COMMENTS:
+        return SURE
+    found = names & MARKS
+    if level == 2 or tag in HEADINGS:
+        found -= {"header"}
+    return NAME if found else FORM if tag == "form" else 0
 
 
 class Page:
     """A parsed page.
 
-    ``blocks`` holds (level, text, element): level 2 inside an article, 1 inside a main element, else 0;
+    ``blocks`` holds (level, text, element): level 2 inside an article, 1 inside a main element, else 0, with 10 added for
+    what stands in a form and 100 for an article or main element that a name leaves out;
     ``element`` is the nearest subtree around it that may be a template, or -1. ``keys`` and ``parents`` describe
     those subtrees in the order of their start tags: block elements, with a hash of all they hold (0 for one that holds no
     text, or the article or main element), another one within the main content than outside it. ``levels`` tells the level
@@ -80,8 +103,8 @@ class Page:
 
     def _read(self) -> None:
         source, size = self._source, len(self._source)
-        # open elements: [tag, left out from here, level, index among subtrees or -1]
-        stack: list[list] = [["", False, 0, -1]]
+        # open elements: [tag, what leaves out from here or 0, level, index among subtrees or -1, 100 if marked out by a name]
+        stack: list[list] = [["", 0, 0, -1, 0]]
         sums: list[list] = []  # of each subtree: [running hash, holds text, holds main content]
         self._buffer: list[str] = []
         at = 0
@@ -116,9 +139,9 @@ class Page:
         self.keys = [s[0] if s[1] and not s[2] else 0 for s in sums]
 
     def _text(self, text: str, inside: list, sums: list) -> None:
-        if inside[1] is False or inside[3] >= 0:
+        if inside[1] <= FORM or inside[3] >= 0:
             plain = html.unescape(text) if "&" in text else text
-            if not inside[1]:
+            if inside[1] <= FORM:
                 self._buffer.append(plain)
             if inside[3] >= 0 and not plain.isspace():
                 own = sums[inside[3]]
@@ -129,8 +152,8 @@ class Page:
         if self._buffer:
             text = " ".join("".join(self._buffer).split())
             self._buffer = []
-            if text and not inside[1]:
-                self.blocks.append((inside[2], text, inside[3]))
+            if text and inside[1] <= FORM:
+                self.blocks.append((inside[2] + 10 * inside[1] + inside[4], text, inside[3]))
 
     def _open(self, tag: str, attributes: str, stack: list, sums: list) -> None:
         block = tag in BLOCKS
@@ -144,25 +167,25 @@ class Page:
                     break
                 if stack[depth][0] in STOPS:
                     break
-        _, out, level, subtree = stack[-1]
-        # what heads or ends an article's own text is part of it; the page's header and footer are not
-        left_out = (tag in LEFT_OUT and not (tag == "header" and level == 2)) or (tag not in ("html", "body") and _marked(attributes))
-        if out or left_out:
-            out = True
-        elif tag == "article" or (level < 1 and (tag == "main" or (attributes and _MAIN.search(attributes)))):
+        _, out, level, subtree, named = stack[-1]
+        out = max(out, _left_out(tag, attributes, level))
+        article = tag == "article" and (level < 2 or not out)
+        if out < SURE and (article or (level < 1 and (tag == "main" or (attributes and _marks(attributes)[2])))):
+            named = 100 if out == NAME else named
+            out = 0
             while level < 2 and subtree >= 0 and not sums[subtree][2]:
                 sums[subtree][2] = True
                 subtree = self.parents[subtree]
             level = 2 if tag == "article" else 1
         if block and tag not in ("html", "body") and not (level and tag in CELLS):
             self.parents.append(subtree)
-            self.levels.append(-1 if out else level)
+            self.levels.append(level + 10 * out + named if out <= FORM else -1)
             sums.append([xxhash.xxh3_64_intdigest(f"{'in ' if level else ''}{tag} {attributes.strip()}"), False, False])
             subtree = len(sums) - 1
-        stack.append([tag, out, level, subtree])
+        stack.append([tag, out, level, subtree, named])
 
     def _pop(self, stack: list, sums: list) -> None:
-        tag, out, level, subtree = stack[-1]
+        tag, _, _, subtree, _ = stack[-1]
         if tag in BLOCKS:
             self._flush(stack[-1])
         stack.pop()
@@ -181,18 +204,31 @@ class Page:
         if tag in BLOCKS:
             self._flush(stack[-1])
 
-    def main_blocks(self) -> tuple[int, list[tuple[int, str, int]]]:
-        """The blocks of the highest level that the page has, and that level."""
-        level = max((b[0] for b in self.blocks), default=0)
-        return level, [b for b in self.blocks if b[0] == level]
+    def main_blocks(self) -> tuple[set[int], list[tuple[int, str, int]]]:
+        """The blocks of the highest level that the page has, and their levels.
+
+        What a form or a name leaves out is taken where it holds the main content: more text than there is without it.
+        """
+        def size(levels: set[int]) -> int:
+            return sum(len(text) for level, text, _ in self.blocks if level in levels)
 
-    def main_level(self) -> int:
-        return self.main_blocks()[0]
+        found = {b[0] for b in self.blocks}
+        top = max((x for x in found if x < 10), default=0)
+        levels = {top}
+        form = max((x - 10 for x in found if 10 <= x < 100), default=-1)
+        if form >= top and size({form + 10}) > size(levels):
+            top, levels = form, {form, form + 10}
+        named = max((x % 10 for x in found if x >= 100), default=-1)
+        if named >= 0 and top < 2 and size({named + 100, named + 110}) > size(levels):
+            levels = {named + 100}
+            if size({named + 110}) > size(levels):
+                levels.add(named + 110)
+        return levels, [b for b in self.blocks if b[0] in levels]
 
     def subtrees(self) -> tuple[set[int], set[int]]:
         """Hashes of the subtrees that hold a part of the text, and of the others."""
-        level = self.main_level()
-        within = {k for k, at in zip(self.keys, self.levels) if k and at == level}
+        levels = self.main_blocks()[0]
+        within = {k for k, at in zip(self.keys, self.levels) if k and at in levels}
         return within, set(self.keys) - within - {0}
 
     def text(self, templates: set[int]) -> str:

@@ -38,6 +38,25 @@ def test_pages_without_an_article():
     assert text("<article></article><p>x</p>") == "x"
 
 
+@pytest.mark.parametrize("page", [
+    '<div class="content no-sidebar"><article>{}</article></div>', '<div id="page" class="has-sidebar">{}</div>', "<form>{}</form>",
+    '<article id="search-basics">{}</article>', '<p title="a hidden gem">{}</p>', "<form><main>{}</main></form>", "<main><form>{}</form></main>",
+    '<article class="search">{}</article>', '<div class="sidebar widget"><div><article>{}</article></div></div><p>x</p>',
+    '<article><h1 class="entry-header">{}</h1></article>', '<article><div class="header">{}</div></article>', '<h1 class="header">{}</h1>',
+    '<form><nav>Menu</nav><ul><li>First thing</li><li>Second thing</li></ul><article>{}</article></form>', "<div data-role='main'>a</div><main>{}</main>",
+])
+def test_names_and_forms_do_not_drop_the_main_content(page):
+    assert text(f"<body>{page.format('The main text')}</body>") == "The main text"
+
+
+def test_names_and_forms_beside_the_main_content_go():
+    assert text('<main><p>The main text</p><div class="related"><article>Next</article></div></main>') == "The main text"
+    assert text('<p>The main text</p><div class="promo"><article>Next</article></div>') == "The main text"
+    assert text('<article>a</article><div class="promo"><article>A longer text</article></div>') == "a"
+    assert text("<main><p>The main text</p><form>Send</form></main>") == "The main text"
+    assert text('<article>a</article><p hidden>The main text</p><p HIDDEN=""><article>b</article></p>') == "a\nb"
+
+
 def test_damaged_and_huge_pages():
     assert text("<article><p>a<!-- never ends") == "a"
     assert text('<article><p title="a>b">c</p><a href="x') == "c"
