@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +55,19 @@ def read_placed_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file_no, block, line, value): lines as ``read_placed_lines`` gives them, with the place of their file.
+
+    ``file_no`` numbers the files by name, digits by value. Spark reads files by size, so ``line`` alone tells nothing of two files.
+    The names, one a file, come to the driver.
+    """
+    lines = read_placed_lines(spark, path)
+    names = [r["file"] for r in lines.select("file").distinct().collect()]
+    names.sort(key=lambda name: [int(x) if x.isdecimal() else x for x in re.split(r"([0-9]+)", name)])
+    numbered = spark.createDataFrame(list(enumerate(names)), "file_no long, file string")
+    return lines.join(F.broadcast(numbered), "file").select("file_no", "block", "line", "value")
+
+
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     """(word): a list with one word per line, lower-cased, blank lines skipped."""
     words = spark.read.text(path).select(F.lower(F.trim("value")).alias("word"))

@@ -1,4 +1,5 @@
 import math
+import shutil
 
 import pytest
 from pyspark.ml.feature import StopWordsRemover
@@ -10,6 +11,7 @@ from millrace.functions import geo, labels
 from millrace.functions import text as X
 from millrace.functions.stop_words import ENGLISH
 from millrace.operators import features, tables
+from millrace.plans import q_sources
 from millrace.sources import files, sinks
 
 
@@ -172,3 +174,28 @@ def test_updates_that_repeat_a_key(spark):
 def test_white_space_around_class_names(spark):
     df = spark.createDataFrame([("Sports\t",), ("\r\n Sports",), ("\tHealth",), (None,)], "t string")
     assert column(df, labels.class_number(F.col("t"))) == [0, 0, 3, 10]
+
+
+def test_lines_are_numbered_by_file_name_not_by_size(spark, tmp_path, monkeypatch):
+    """The query's own write, forced into six files of unequal size, the smallest first."""
+    rows = [(i, "en" if i % 2 else "de") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string")
+    write = sinks.write_lines
+    bounds = [0, 10, 50, 200, 600, 1300, 3000]
+
+    def several(df, path, files=None, mode="error"):
+        doc_id = F.element_at(F.split("value", " = "), -1).cast("long")
+        for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
+            write(df.where((doc_id >= low) & (doc_id < high)).coalesce(1).sortWithinPartitions(doc_id), f"{tmp_path}/{k}")
+        (tmp_path / "all").mkdir()
+        for k in range(len(bounds) - 1):
+            (source,) = (tmp_path / str(k)).glob("part-*.txt")
+            shutil.copy(source, tmp_path / "all" / f"part-{k:05d}.txt")
+
+    monkeypatch.setattr(q_sources, "table", lambda *_: docs)
+    monkeypatch.setattr(q_sources, "write_lines", several)
+    monkeypatch.setattr(q_sources, "scratch_path", lambda *_: str(tmp_path / "all"))
+    got = {tuple(r) for r in q_sources.row_index_read_order(spark, None).collect()}
+    assert got == {("de", 0, 1), ("en", 1, 1), ("de", 2, 2), ("en", 3, 2)}
+    lines = files.read_ordered_lines(spark, str(tmp_path / "all")).orderBy("file_no", "block", "line").collect()
+    assert [r["value"].split(" = ")[1] for r in lines] == [str(i) for i in range(3000)]
