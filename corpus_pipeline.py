@@ -11,7 +11,7 @@ from millrace.llm.common import settle
 from millrace.llm.q_texts import MIXTURE, domains, vocabulary_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document of which no language has this share of the letters is rejected.
+#: A document of which less than this share of the letters is in learned languages, all together, is rejected.
 LEAST_SHARE = 0.5
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 
@@ -19,12 +19,12 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages; ``lang`` is set to what was found.
 
-    Documents without a letter, and those no language has half of, go. NULL texts go with them.
+    Documents without a letter, and those of which the learned languages together have less than half, go. NULL texts go with them.
     """
     docs = docs.select(*COLUMNS)
     model = lang_id.train(docs.where(~lang_id.held_out("doc_id")))
-    told = lang_id.label_documents(docs, model, keep_text=True)
-    known = (F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
+    told = lang_id.label_documents(docs, model, keep_text=True, known=True)
+    known = (F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("known") >= LEAST_SHARE)
     return told.where(known).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 

@@ -219,7 +219,7 @@ def _labeller(tables, shared, found_fields, without_text: bool):
                 for i in range(last - first):
                     a, b = found.bounds[i], found.bounds[i + 1]
                     if a == b or not model.langs:
-                        rows.append((UNKNOWN, 0.0, []))
+                        rows.append((UNKNOWN, 0.0, [], 0.0))
                         continue
                     own, length = labels[a:b], found.length[a:b]
                     letters = np.bincount(own, length, minlength=len(model.langs))
@@ -234,7 +234,8 @@ def _labeller(tables, shared, found_fields, without_text: bool):
                         {"start": int(start[o]), "stop": int(start[c] + length[c]), "lang": model.langs[own[o]]}
                         for o, c in zip(opens, closes)
                     ]
-                    rows.append((model.langs[best], float(min(1.0, letters[best] / length.sum())), spans))
+                    used = length[model.allowed[found.script[a:b], own]].sum()
+                    rows.append((model.langs[best], float(min(1.0, letters[best] / length.sum())), spans, float(used / length.sum())))
                 kept = batch.slice(first, last - first).drop_columns(["text"] if without_text else [])
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), found_fields)]
                 yield pa.RecordBatch.from_arrays([*kept.columns, *columns], schema=pa.schema([*kept.schema, *found_fields]))
@@ -242,7 +243,7 @@ def _labeller(tables, shared, found_fields, without_text: bool):
     return label
 
 
-def label_documents(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
+def label_documents(docs: DataFrame, model: Model, keep_text: bool = False, known: bool = False) -> DataFrame:
     """The columns of ``docs`` (text and others; without text unless ``keep_text``), lang_pred, score and spans.
 
     ``spans`` (start, stop, lang; code points) are the runs of words of one language in order,
@@ -250,14 +251,18 @@ def label_documents(docs: DataFrame, model: Model, keep_text: bool = False) -> D
     of the letters. A NULL text and one without a letter give ``und`` with score 0 and no span, as does
     every text where the model knows no language; a text only in scripts that no language uses gets the most frequent
     language with a score near 0. Every row gives one row, repeated ones too; an empty table gives no rows.
+    With ``known`` a column of that name has the share of the letters that lie in spans of any language, without words in
+    scripts that the span's language does not use.
     Columns of ``docs`` that bear the name of a result are replaced.
     """
     context = docs.sparkSession.sparkContext
     tables, shared = context.broadcast(letter_tables()), context.broadcast(vars(model))
     span = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lang", pa.string())])
     fields = [pa.field("lang_pred", pa.string()), pa.field("score", pa.float64()), pa.field("spans", pa.list_(span))]
+    fields += [pa.field("known", pa.float64())] if known else []
     docs = docs.drop(*[f.name for f in fields])
-    found = T._parse_datatype_string("lang_pred string, score double, spans array<struct<start:bigint,stop:bigint,lang:string>>")
+    names = "lang_pred string, score double, spans array<struct<start:bigint,stop:bigint,lang:string>>"
+    found = T._parse_datatype_string(names + (", known double" if known else ""))
     kept = [f for f in docs.schema if keep_text or f.name != "text"]
     return docs.mapInArrow(_labeller(tables, shared, fields, not keep_text), T.StructType([*kept, *found]))
 

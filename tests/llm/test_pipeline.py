@@ -32,6 +32,20 @@ def test_language_rejects_what_is_in_none(spark, given):
     assert STAGES["language"](spark, documents(spark, []), SF).collect() == []
 
 
+def test_language_keeps_texts_in_several_languages(spark, given):
+    known = [(r["doc_id"], r["text"], r["lang"]) for r in given.collect()]
+    parts = {}
+    for _, t, lang in known:
+        parts[lang] = f"{parts.get(lang, '')} {t}"[:40_000]
+    several = sorted(x for x in parts if x and len(parts[x]) > 2000)[:3]
+    assert len(several) == 3
+    mixed = " ".join(parts[lang][:n] for lang, n in zip(several, (800, 700, 500)))
+    foreign = "日本語 " * 200 + parts[several[0]][:100]
+    got = STAGES["language"](spark, documents(spark, [*known, (9001, mixed, None), (9002, foreign, None)]), SF)
+    ids = {r["doc_id"] for r in got.collect()}
+    assert 9001 in ids and 9002 not in ids
+
+
 def test_one_of_each_group_stays(spark):
     base = " ".join(f"word{i}" for i in range(120))
     near, far = base.replace("word60", "other"), " ".join(f"thing{i}" for i in range(50))
