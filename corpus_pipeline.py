@@ -37,10 +37,15 @@ def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as its rate in the mixture says; documents without an id stay once."""
+    """Every document as often as its rate in the mixture says; documents without an id stay once.
+
+    Where no domain that the mixture wants was learned, the rates say nothing and every document stays once.
+    """
     docs = docs.select(*COLUMNS)
     rated = soft_mix.mix(docs, domains(table(spark, sf_dir, "labels")), MIXTURE)
-    copies = rated.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
+    wanted = F.arrays_overlap(F.map_keys("posterior"), F.array(*[F.lit(d) for d, weight in MIXTURE.items() if weight > 0]))
+    rated = rated.where("doc_id IS NOT NULL").withColumn("copies", F.when(wanted, F.col("copies")).otherwise(1))
+    copies = rated.groupBy("doc_id").agg(F.max("copies").alias("_copies"))
     placed = docs.join(copies, "doc_id", "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
     return placed.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*COLUMNS)
 

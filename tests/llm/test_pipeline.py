@@ -67,6 +67,15 @@ def test_mixing_repeats_and_thins(spark, given):
     assert STAGES["mixing"](spark, documents(spark, []), SF).collect() == []
 
 
+@pytest.mark.parametrize("labels", ["false", "toxic = 1"])
+def test_mixing_without_a_wanted_domain_keeps_all(spark, given, monkeypatch, labels):
+    few = spark.read.parquet(f"{SF}/labels.parquet").where(labels)
+    monkeypatch.setattr(pipeline, "table", lambda *_: few)
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in given.collect()]
+    got = STAGES["mixing"](spark, documents(spark, rows), SF)
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(r[0] for r in rows)
+
+
 def test_tokens_come_back(spark, given):
     rows = [(1, "some text", "en"), (2, None, "en"), (None, "", "en")]
     got = {r["doc_id"]: r for r in STAGES["tokens"](spark, documents(spark, rows), SF).collect()}
