@@ -11,7 +11,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import settle
@@ -33,6 +33,20 @@ def pivots_for(n: int) -> int:
     return max(16, math.ceil(2 * math.sqrt(n)))
 
 
+def _sample(rows: DataFrame, size: int, wanted: int) -> DataFrame:
+    """(v): the ``wanted`` rows of the smallest hashes of ``class``, in their order, of ``size`` rows.
+
+    Rows far above the hash that is expected last are left out before any are sent, so no task sees more than some twice as many as wanted.
+    """
+    draw = F.xxhash64("class")
+    share = (2 * wanted + 200) / max(size, 1)
+    if share < 1:
+        few = rows.where(draw < F.lit(int(share * 2**64) - 2**63))
+        if few.count() >= wanted:
+            rows = few
+    return rows.orderBy(draw).limit(wanted).select("v")
+
+
 def _spread(points: np.ndarray) -> np.ndarray:
     """Unit vectors of the points, without those close to an earlier one.
 
@@ -146,9 +160,11 @@ def near_duplicates(
     )
     folded = settle(folded.withColumn("dim", F.size("v")), "folded")
     count = folded.count()
-    order = Window.partitionBy("dim").orderBy(F.xxhash64("class"))
-    chosen = folded.select("dim", "v", F.row_number().over(order).alias("n")).where(F.col("n") <= pivots_for(count))
-    pivots = {int(dim): _spread(np.vstack(part["v"].to_numpy())) for dim, part in chosen.orderBy("dim", "n").toPandas().groupby("dim")}
+    dims = folded.groupBy("dim").count().collect()  # a few
+    pivots = {}
+    for r in dims:
+        drawn = _sample(folded.where(F.col("dim") == r["dim"]), r["count"], pivots_for(count))
+        pivots[r["dim"]] = _spread(np.vstack(drawn.toPandas()["v"].to_numpy()))
     described = folded.select("rep", "copies", "label", "dim", "v").mapInPandas(
         _describe(pivots), "rep bigint, copies bigint, label string, dim int, v array<double>, near array<int>"
     )

@@ -1,5 +1,7 @@
 """Near-duplicate vectors and exact top-k search, against brute force."""
 
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +128,16 @@ def test_components_of_chains_stars_and_loops(spark):
     want = {i: 100 for i in range(101, 161)} | {i: 1 for i in range(200, 260)} | {7: 6}
     assert got == want
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_the_sample_of_pivots_needs_no_task_that_sees_all(spark):
+    rows = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("class"), F.array(F.col("id").cast("double")).alias("v"))
+    drawn = pivot_index._sample(rows, 20_000, 100)
+    plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Filter" in plan
+    expect = rows.orderBy(F.xxhash64("class")).limit(100).select("v")
+    assert drawn.collect() == expect.collect()
+    assert len(pivot_index._sample(rows.limit(50), 50, 100).collect()) == 50
+    # a size told too large leaves too few rows below the bound
+    assert pivot_index._sample(rows, 20_000_000, 100).collect() == expect.collect()
+    assert "Window" not in inspect.getsource(pivot_index.near_duplicates)
