@@ -24,6 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load() -> dict[str, Query]:
     """Import the modules that register queries, once."""
-    from . import q_layout, q_pages, q_texts, q_vectors  # noqa: F401
+    from . import q_layout, q_pages, q_texts, q_vectors, q_words  # noqa: F401
 
     return LLM
