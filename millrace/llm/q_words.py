@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bloom_cascade, spelling
+from . import bloom_cascade, spelling, toxicity
 from .catalog import query, table
 
 MIN_LENGTH, MIN_COUNT = 7, 2
@@ -36,3 +36,9 @@ _SLIPPED_SQL = rf"""run AS (SELECT doc_id, run, count(*) AS k FROM (SELECT doc_i
 )
 def op11_spelling(spark, sf):
     return spelling.document_variants(table(spark, sf, "documents").select("doc_id", "text"), MIN_LENGTH, MIN_COUNT)
+
+
+@query("op12_toxicity")
+def op12_toxicity(spark, sf):
+    labels = table(spark, sf, "labels").select("doc_id", "toxic")
+    return toxicity.judge(table(spark, sf, "documents").select("doc_id", "text"), labels).drop("matches")
