@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bloom_cascade, spelling, toxicity
+from . import bloom_cascade, phrases, spelling, toxicity
 from .catalog import query, table
 
 MIN_LENGTH, MIN_COUNT = 7, 2
@@ -42,3 +42,33 @@ def op11_spelling(spark, sf):
 def op12_toxicity(spark, sf):
     labels = table(spark, sf, "labels").select("doc_id", "toxic")
     return toxicity.judge(table(spark, sf, "documents").select("doc_id", "text"), labels).drop("matches")
+
+
+LONGEST, LEAST, PERCENT, TOP = 3, 10, 50, 2_000
+
+
+@query(
+    "op13_phrases",
+    rf"""WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(text, '{bloom_cascade.UPPER}', '{bloom_cascade.LOWER}'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+    w AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM piece),
+    one AS (SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM w) GROUP BY ALL),
+    size AS (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang),
+    two AS (SELECT lang, x, y, count(*) AS f FROM (SELECT lang, w[i] AS x, w[i + 1] AS y FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM w)) GROUP BY ALL),
+    three AS (SELECT lang, x, y, z, count(*) AS a FROM (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM w))
+        GROUP BY ALL HAVING count(*) >= {LEAST}),
+    longer AS (SELECT lang, x, y, max(a) AS most FROM (SELECT lang, x, y, a FROM three UNION ALL SELECT lang, y, z, a FROM three) GROUP BY ALL),
+    cut AS (SELECT two.lang, two.x || ' ' || two.y AS phrase, two.f AS a, 1 AS k, p.f AS l, q.f AS r FROM two JOIN one p ON p.lang = two.lang AND p.x = two.x
+            JOIN one q ON q.lang = two.lang AND q.x = two.y LEFT JOIN longer g ON g.lang = two.lang AND g.x = two.x AND g.y = two.y
+            WHERE two.f >= {LEAST} AND coalesce(100 * most < {PERCENT} * two.f, TRUE)
+        UNION ALL SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, a, 1, p.f, q.f FROM three t JOIN one p ON p.lang = t.lang AND p.x = t.x
+            JOIN two q ON q.lang = t.lang AND q.x = t.y AND q.y = t.z
+        UNION ALL SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, a, 2, p.f, q.f FROM three t JOIN two p ON p.lang = t.lang AND p.x = t.x AND p.y = t.y
+            JOIN one q ON q.lang = t.lang AND q.x = t.z),
+    scored AS (SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cut),
+    lowest AS (SELECT lang, phrase, a, l, r, score FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM lowest)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN size USING (lang) WHERE rank <= {TOP}""",
+)
+def op13_phrases(spark, sf):
+    return phrases.collocations(table(spark, sf, "documents").select("lang", "text"), LONGEST, LEAST, PERCENT, TOP)
