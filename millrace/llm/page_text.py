@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from functools import lru_cache
 
-import numpy as np
 import xxhash
 
 #: Elements whose content is no text of the page.
@@ -25,6 +23,12 @@ MARKS = {
     "header", "footer", "sidebar", "widget", "complementary", "contentinfo", "search", "newsletter", "subscribe", "signup", "login",
     "share", "sharing", "social", "related", "recommended",
 }
+#: Words that mark a name of two parts, as in main-nav, site_footer or comments-area, unless the other part only tells of a whole page.
+STRONG = {
+    "nav", "navbar", "navigation", "menu", "footer", "sidebar", "breadcrumb", "breadcrumbs", "comments", "cookie", "cookies", "advert", "adverts",
+    "advertisement", "newsletter", "pagination", "sponsored", "subscribe",
+}
+TELLING = {"has", "no", "with", "without", "is", "not"}
 #: Names of readers' comments, whose articles are no main content.
 COMMENTS = {"comment", "comments", "user-comment", "user-comments", "comment-list", "commentlist", "disqus", "disqus_thread", "replies"}
 #: What leaves an element out: a form or a name yields to main content inside it.
@@ -40,8 +44,10 @@ CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "tbody": {"tr", "td", "th", "thead"}, "tfoot": {"tr", "td", "th", "tbody"},
 }
-#: Parts of lists and tables: within the main content they are judged with their list or table, as a number in a cell recurs by chance.
-CELLS = {"li", "dt", "dd", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "option"}
+#: Elements that may be templates within the main content; a heading, paragraph, cell or item by itself may recur by chance or as a quotation.
+CONTAINERS = {"div", "section", "aside", "ul", "ol", "dl", "table", "figure"}
+#: Elements that are counted outside the main content of a page that marks it.
+OUTSIDE = CONTAINERS | {"nav", "header", "footer", "form", "menu"}
 STOPS = {"ul", "ol", "dl", "table", "select", "div", "section", "article", "main", "body", "html", "blockquote", "nav", "aside", "menu"}
 
 _TAG = re.compile(
@@ -53,33 +59,49 @@ _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(
 _MASK = (1 << 64) - 1
 
 
-@lru_cache(maxsize=4096)
-def _marks(attributes: str) -> tuple[frozenset[str], bool, bool]:
-    """The names of an element's class, id and role; whether it is hidden, and whether its role is main."""
-    names: set[str] = set()
-    hidden = main = False
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        name = name.lower()
-        if name in ("class", "id", "role"):
-            value = "".join(values).lower().split()
-            names.update(value)
-            main |= name == "role" and "main" in value
-        hidden |= name == "hidden"
-    return frozenset(names), hidden, main
+#: Attribute texts whose marks a task remembers at most.
+REMEMBERED = 4096
+
+
+def _marks(attributes: str, known: dict) -> tuple[frozenset[str], bool, bool]:
+    """The names of an element's class, id and role; whether it is hidden, and whether its role is main. ``known`` remembers some."""
+    found = known.get(attributes)
+    if found is None:
+        names: set[str] = set()
+        hidden = main = False
+        for name, *values in _ATTRIBUTE.findall(attributes):
+            name = name.lower()
+            if name in ("class", "id", "role"):
+                value = "".join(values).lower().split()
+                names.update(value)
+                main |= name == "role" and "main" in value
+            hidden |= name == "hidden"
+        if len(known) >= REMEMBERED:
+            known.clear()
+        found = known[attributes] = frozenset(names), hidden, main
+    return found
+
 
+def _strong(name: str) -> bool:
+    """Whether a name has two parts, one of which marks what is left out."""
+    parts = re.split("[-_]", name)
+    return len(parts) == 2 and not TELLING & set(parts) and bool(STRONG & set(parts))
 
-def _left_out(tag: str, attributes: str, level: int) -> int:
+
+def _left_out(tag: str, attributes: str, level: int, known: dict) -> int:
     """What leaves an element out, or 0."""
     # what heads or ends an article's own text is part of it; the page's header and footer are not
     if tag in LEFT_OUT and not (tag == "header" and level == 2):
         return SURE
-    names, hidden, _ = _marks(attributes) if attributes and tag not in ("html", "body") else (frozenset(), False, False)
+    names, hidden, _ = _marks(attributes, known) if attributes and tag not in ("html", "body") else (frozenset(), False, False)
     if hidden or names & COMMENTS:
         return SURE
     found = names & MARKS
     if level == 2 or tag in HEADINGS:
         found -= {"header"}
-    return NAME if found else FORM if tag == "form" else 0
+    if found or any(map(_strong, names)):
+        return NAME
+    return FORM if tag == "form" else 0
 
 
 class Page:
@@ -88,16 +110,18 @@ class Page:
     ``blocks`` holds (level, text, element): level 2 inside an article, 1 inside a main element, else 0, with 10 added for
     what stands in a form and 100 for an article or main element that a name leaves out;
     ``element`` is the nearest subtree around it that may be a template, or -1. ``keys`` and ``parents`` describe
-    those subtrees in the order of their start tags: block elements, with a hash of all they hold (0 for one that holds no
-    text, or the article or main element), another one within the main content than outside it. ``levels`` tells the level
-    each stands in, -1 where it is left out.
+    those subtrees in the order of their start tags: block elements, only containers within the main content, with a hash of all they
+    hold (0 for one that holds no text, or the article or main element), another one within the main content than outside it. ``tags`` has
+    their elements, ``levels`` the level each stands in, -1 where it is left out. ``known`` is what a task remembers of attributes.
     """
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, known: dict | None = None):
+        self._known = {} if known is None else known
         self.blocks: list[tuple[int, str, int]] = []
         self.keys: list[int] = []
         self.parents: list[int] = []
         self.levels: list[int] = []
+        self.tags: list[str] = []
         self._source = source
         self._read()
 
@@ -168,17 +192,18 @@ class Page:
                 if stack[depth][0] in STOPS:
                     break
         _, out, level, subtree, named = stack[-1]
-        out = max(out, _left_out(tag, attributes, level))
+        out = max(out, _left_out(tag, attributes, level, self._known))
         article = tag == "article" and (level < 2 or not out)
-        if out < SURE and (article or (level < 1 and (tag == "main" or (attributes and _marks(attributes)[2])))):
+        if out < SURE and (article or (level < 1 and (tag == "main" or (attributes and _marks(attributes, self._known)[2])))):
             named = 100 if out == NAME else named
             out = 0
             while level < 2 and subtree >= 0 and not sums[subtree][2]:
                 sums[subtree][2] = True
                 subtree = self.parents[subtree]
             level = 2 if tag == "article" else 1
-        if block and tag not in ("html", "body") and not (level and tag in CELLS):
+        if block and tag not in ("html", "body") and (not level or tag in CONTAINERS):
             self.parents.append(subtree)
+            self.tags.append(tag)
             self.levels.append(level + 10 * out + named if out <= FORM else -1)
             sums.append([xxhash.xxh3_64_intdigest(f"{'in ' if level else ''}{tag} {attributes.strip()}"), False, False])
             subtree = len(sums) - 1
@@ -225,11 +250,13 @@ class Page:
                 levels.add(named + 110)
         return levels, [b for b in self.blocks if b[0] in levels]
 
-    def subtrees(self) -> tuple[set[int], set[int]]:
-        """Hashes of the subtrees that hold a part of the text, and of the others."""
+    def subtrees(self) -> tuple[list[int], set[int]]:
+        """Hashes of the subtrees that may be deleted from the text, by number (0: may not), and of others that are counted."""
         levels = self.main_blocks()[0]
-        within = {k for k, at in zip(self.keys, self.levels) if k and at in levels}
-        return within, set(self.keys) - within - {0}
+        marked = levels != {0}
+        within = [k if at in levels else 0 for k, at in zip(self.keys, self.levels)]
+        others = {k for k, at, tag in zip(self.keys, self.levels, self.tags) if at not in levels and (tag in OUTSIDE or not marked)}
+        return within, others - set(within) - {0}
 
     def text(self, templates: set[int]) -> str:
         """The blocks of the main content, or of the whole page where none is marked, without templates."""
@@ -237,24 +264,6 @@ class Page:
         return without([b[1] for b in blocks], [b[2] for b in blocks], self.keys, self.parents, templates)
 
 
-def sketch(text: str, size: int, width: int = 12) -> list[int]:
-    """The ``size`` smallest hashes of the runs of ``width`` characters, each once: a sample of what a text holds."""
-    least = np.empty(0, np.uint64)
-    step = 1 << 20
-    for at in range(0, max(len(text) - width, 0) + 1, step):
-        runs = np.frombuffer(text[at:at + step + width - 1].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        count = max(len(runs) - width + 1, 1)
-        found = np.zeros(count, np.uint64)
-        for i in range(min(width, len(runs))):
-            found = found * np.uint64(0x9E3779B97F4A7C15) + runs[i:i + count]
-        found ^= found >> np.uint64(31)
-        found *= np.uint64(0xBF58476D1CE4E5B9)
-        found ^= found >> np.uint64(29)
-        if len(runs):
-            least = np.unique(np.concatenate([least, np.unique(found)[:size]]))[:size]
-    return least.tolist()
-
-
 def used(elements, keys, parents) -> tuple[list[int], list[int], list[int]]:
     """The subtrees that lie around the given ones, and the given ones, numbered anew."""
     wanted: set[int] = set()

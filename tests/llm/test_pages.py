@@ -3,6 +3,9 @@
 import gzip
 import os
 import random
+import subprocess
+import sys
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -140,6 +143,93 @@ def test_the_size_of_a_host_decides_nothing(spark):
     assert all(got[i] == words(i, 12) for i in range(12)) and got[105] == words(105, 12)
 
 
+def test_headings_and_quotations_of_articles_stay(spark):
+    page = "<article><h1>Dish {0}</h1><h2>Ingredients</h2><p>{1}</p><h2>Method</h2><p>One sentence that ten articles quote.</p><p>{2}</p></article>"
+    rows = [(i, "http://a.org/", page.format(i, words(i), words(100 + i))) for i in range(12)]
+    got = texts(spark, rows)
+    assert got[5] == f"Dish 5\nIngredients\n{words(5)}\nMethod\nOne sentence that ten articles quote.\n{words(105)}"
+
+
+def test_large_menus_beside_short_texts_go(spark):
+    menu = "<div class='x7'>" + "".join(f"<p>Menu line number {k} of the site, long enough</p>" for k in range(20)) + "</div>"
+    rows = [(i, "http://a.org/", f"<body>{menu}<p>{words(i, 12)}</p></body>") for i in range(40)]
+    assert all(t == words(i, 12) for i, t in texts(spark, rows).items())
+
+
+@pytest.mark.parametrize("name", ["class='main-nav'", "class='site-footer wide'", "id='comments-area'", "class=left_sidebar"])
+def test_names_of_two_parts_on_pages_alone_on_their_host(name):
+    assert text(f"<body><p>The main text of the page, long enough</p><div {name}><p>Other text</p></div></body>") == "The main text of the page, long enough"
+    assert text(f"<div {name}><article>a</article></div>") == "a"
+    assert text("<p>a</p><div class='has-sidebar'>b</div><div class='my-own-menu'>c</div><div class='menubar'>d</div>") == "a\nb\nc\nd"
+
+
+def brute_force(rows, least):
+    """Templates counted by host in plain Python, over the trees that the parser gives."""
+    parsed = []
+    for i, url, html in rows:
+        page, host = Page(html or ""), (url or "").split("://")[1].split("/")[0].lower() if "://" in (url or "") else ""
+        within, others = page.subtrees()
+        parsed.append((i, host, page, page.main_blocks()[1], within, others))
+    seen = Counter((host, k) for _, host, _, _, within, others in parsed for k in {*within, *others} - {0})
+    held = {}
+    for i, host, page, blocks, within, _ in parsed:
+        around = set()
+        for _, _, e in blocks:
+            while e >= 0:
+                around.add(within[e])
+                e = page.parents[e]
+        held[id(page)] = around - {0}
+    own = defaultdict(set)
+    for i, host, page, blocks, within, _ in parsed:
+        shared = {k for k in held[id(page)] if seen[host, k] >= least}
+        left, whole = page.text(shared), page.text(set())
+        if left and len(left) >= min(templates.OWN_CHARS, templates.OWN_SHARE * len(whole)):
+            for k in shared:
+                own[host, k].add(left)
+    return sorted((str(i), page.text({k for k in held[id(page)] if len(own[host, k]) >= least})) for i, host, page, *_ in parsed)
+
+
+def test_templates_against_counting_by_host(spark):
+    draw = random.Random(2)
+    boxes = [f"<div class='k{k}'><p>Box {k} of {words(k, 5)}</p><ul><li>item</li><li>{k}</li></ul></div>" for k in range(6)]
+    rows = []
+    for i in range(300):
+        parts = draw.sample(boxes, draw.randrange(0, 4)) + [f"<p>{words(1000 + draw.randrange(250), draw.choice([1, 3, 12]))}</p>", "<h2>Common heading</h2>"]
+        draw.shuffle(parts)
+        inner = "".join(parts)
+        html = draw.choice(["<body>{}</body>", "<article>{}</article>", "<main>{}</main><div>x</div>"]).format(inner)
+        rows.append((i, draw.choice(["http://a.org/", "http://B.org/x", "https://c.org", None]), html))
+    rows += rows[:20] + [(900, "http://a.org/", None), (901, "http://a.org/", "")]
+    got = templates.extract_text(site(spark, rows), 5).collect()
+    assert sorted((str(r["page_id"]), r["text"]) for r in got) == brute_force(rows, 5)
+    few = templates.extract_text(site(spark, rows), 5, max_filter_bytes=64).collect()
+    assert sorted(map(str, few)) == sorted(map(str, got))
+
+
+ALONE = """
+import sys, tempfile
+sys.path.insert(0, {repo!r})
+from millrace.session import local_session
+import __spark_entry__ as entry
+spark = local_session("2", 2, shared={shared!r})
+found = entry.queries()
+for name in {names!r}:
+    print(name, len(found[name](spark, "/root/testdata/sf0.001").collect()))
+"""
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """The package is on the driver's path only."""
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    names = ["op6_templates", "op8_warc", "op11_spelling", "op12_toxicity", "op13_phrases"]
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    script = tmp_path / "alone.py"
+    script.write_text(ALONE.format(repo=repo, shared=str(tmp_path), names=names))
+    run = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert run.returncode == 0, run.stderr[-2000:]
+    assert [line.split()[0] for line in run.stdout.splitlines()] == names
+
+
 # archives
 
 PAGES = [(i, f"http://h{i % 3}.org/ä {i}", f"<p>{'text ' * (i % 50)}{i % 17}</p>\r\n\r\n") for i in range(200)] + [
