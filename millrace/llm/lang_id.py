@@ -31,8 +31,8 @@ SCRIPT_SHARE = 0.02
 SWITCH = 12.0
 #: Score of a word in a language that is no candidate.
 OUT = -1e4
-#: Characters that are worked on at once; a longer text alone.
-BATCH_CHARS = 1 << 21
+#: Characters whose spans are sought at once, and whose letters are taken apart at once; a longer text alone.
+BATCH_CHARS, LETTER_CHARS = 1 << 21, 1 << 18
 UNKNOWN = "und"
 
 
@@ -114,7 +114,7 @@ def _counter(tables):
         trigrams, scripts = np.zeros((0, BUCKETS), np.int64), np.zeros((0, 256), np.int64)
         for batch in batches:
             texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
-            for first, last in _portions(texts, BATCH_CHARS):
+            for first, last in _portions(texts, LETTER_CHARS):
                 found = _Letters(texts[first:last], script, lower)
                 which = np.array([names.setdefault(x, len(names)) for x in langs[first:last]])
                 grow = len(names) - len(trigrams)
@@ -142,17 +142,24 @@ class Model:
     def __init__(self, langs, scores, allowed, common):
         self.langs, self.scores, self.allowed, self.common = langs, scores, allowed, common
 
-    def spans(self, found: _Letters) -> np.ndarray:
-        """Language of each word."""
-        n, k = len(found.first), len(self.langs)
-        if not n:
-            return np.zeros(0, np.int64)
-        score = np.empty((n, k), np.float32)
-        for i in range(k):
+    def score(self, found: _Letters) -> np.ndarray:
+        """Score of each word in each language."""
+        score = np.empty((len(found.first), len(self.langs)), np.float32)
+        if not len(score):
+            return score
+        for i in range(len(self.langs)):
             score[:, i] = np.add.reduceat(self.scores[i][found.buckets], found.first)
         allowed = self.allowed[found.script]
         score[~allowed] = OUT
         score[~allowed.any(axis=1)] = 0  # a script that no language uses says nothing
+        return score
+
+    def spans(self, found: _Letters | _Words) -> np.ndarray:
+        """Language of each word."""
+        score = found.score if isinstance(found, _Words) else self.score(found)
+        n, k = score.shape
+        if not n:
+            return np.zeros(0, np.int64)
         lengths = np.diff(found.bounds)
         order = np.argsort(-lengths, kind="stable")
         order = order[lengths[order] > 0]
@@ -185,6 +192,22 @@ class Model:
         return label
 
 
+class _Words:
+    """Words of some texts with their scores; letters and trigrams are only held for a part of the texts at a time."""
+
+    def __init__(self, texts: list[str], script: np.ndarray, lower: np.ndarray, model: Model):
+        parts, scores, words, chars = [], [], 0, 0
+        for a, b in _portions(texts, LETTER_CHARS):
+            found = _Letters(texts[a:b], script, lower)
+            scores.append(model.score(found))
+            parts.append((found.script, found.start + chars, found.length, found.bounds[:-1] + words, found.edges[:-1] + chars))
+            words, chars = words + len(found.first), chars + int(found.edges[-1])
+        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 5
+        self.script, self.start, self.length = columns[:3]
+        self.bounds, self.edges = (np.concatenate((c, [end])) for c, end in zip(columns[3:], (words, chars)))
+        self.score = np.concatenate(scores) if scores else np.zeros((0, len(model.langs)), np.float32)
+
+
 def train(docs: DataFrame) -> Model:
     """Model of the languages of ``docs`` (text, lang), from the whole of every text.
 
@@ -213,8 +236,8 @@ def _labeller(tables, shared, found_fields, without_text: bool):
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for first, last in _portions(texts, BATCH_CHARS):
-                found = _Letters(texts[first:last], script, lower)
-                labels = model.spans(found) if model.langs else np.zeros(len(found.first), np.int64)
+                found = _Words(texts[first:last], script, lower, model)
+                labels = model.spans(found) if model.langs else np.zeros(len(found.start), np.int64)
                 rows = []
                 for i in range(last - first):
                     a, b = found.bounds[i], found.bounds[i + 1]

@@ -78,7 +78,7 @@ def test_words_of_documents(spark):
 
 @pytest.mark.parametrize("given, want", [
     ("You are an 1d1ot, m0r0n!", " you are an idiot moron "), ("$tupid tr@sh 5tuff b@d", " stupid trash stuff bad "),
-    ("ѕсum іdіоt", " scum idiot "), ("сосна Москва", " cocha москва "), ("12.5 x86 $5 a@1", " 12 5 x86 5 a 1 "),
+    ("ѕсum іdіоt", " scum idiot "), ("сосна Дождь", " cocha дождь "), ("12.5 x86 $5 a@1", " 12 5 x86 5 a 1 "),
     ("ｔｒａｓｈ tr​ash", " trash trash "), ("a\nb_c", " a \n b c "), ("", "  "), ("Éa ß", " éa ß "),
 ])
 def test_folding(given, want):
@@ -144,7 +144,7 @@ def test_toxicity_without_labels(spark):
 # quotient filters
 
 
-@pytest.mark.parametrize("width, size", itertools.product([16, 33, 64], [2, 3, 5]))
+@pytest.mark.parametrize("width, size", list(itertools.product([16, 33, 64], [2, 3, 5])))
 def test_filters_lose_nothing(width, size):
     rng = np.random.default_rng(width)
     pool = [rng.integers(0, (1 << width) - 1, 200, np.uint64, endpoint=True) for _ in range(size)]
