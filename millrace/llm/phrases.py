@@ -30,6 +30,8 @@ PENDING, ENTRIES = 1 << 21, 1 << 22
 PART_OCCURRENCES = 1 << 21
 #: Bits of the maps that tell frequent words and phrases, at most (16 MB); a full map costs time, not results.
 MAP_BITS = 27
+#: Parts in which the best phrases of a language are sought first.
+BUCKETS = 64
 #: How much less likely than 1 it is that two words get the same id, in bits.
 SPARE_BITS = 8
 
@@ -335,5 +337,9 @@ def collocations(docs: DataFrame, longest: int = 3, min_count: int = 10, percent
 
 
 def _first(rows: DataFrame, top: int) -> DataFrame:
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return rows.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= top)
+    """The first ``top`` rows of each language; those of each of ``BUCKETS`` parts first, so that no task gets a share that grows with the input."""
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(BUCKETS))).orderBy(*order)
+    some = rows.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint")
+    return some.withColumn("rank", rank).where(F.col("rank") <= top)
