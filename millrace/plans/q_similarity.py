@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from ..operators import features, minhash, segment_join, token_sets
+from ..operators import features, minhash, prefix_join, token_sets
 from ..operators.vector_join import near_vectors
 from ..session import scratch_path
 from ..sources.files import stream_table
@@ -70,7 +70,7 @@ def near_dup_pairs(spark, sf):
 
 @query("near_dup_pairs_exact", NEAR_SQL)
 def near_dup_pairs_exact(spark, sf):
-    return segment_join.exact_near_pairs(documents(spark, sf), "doc_id", "text", NEAR)
+    return prefix_join.prefix_near_pairs(documents(spark, sf), "doc_id", "text", NEAR)
 
 
 @query(
@@ -83,7 +83,7 @@ def near_dup_copies(spark, sf):
 
 @query("lsh_join", _between_sql(JOIN_DISTANCE))
 def lsh_join(spark, sf):
-    return minhash.minhash_near_pairs_between(
+    return prefix_join.prefix_near_pairs_between(
         table(spark, sf, "benchmark"), documents(spark, sf), "item_id", "doc_id", "text", "text", JOIN_DISTANCE
     )
 
@@ -91,7 +91,7 @@ def lsh_join(spark, sf):
 @query("lsh_self_join", _within_sql(STREAM_DISTANCE))
 def lsh_self_join(spark, sf):
     """A loose threshold within one table."""
-    return minhash.minhash_near_pairs(documents(spark, sf), "doc_id", "text", STREAM_DISTANCE)
+    return prefix_join.prefix_near_pairs(documents(spark, sf), "doc_id", "text", STREAM_DISTANCE)
 
 
 @query(

@@ -6,7 +6,7 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import minhash, segment_join
+from millrace.operators import minhash, prefix_join, segment_join
 from millrace.operators.buckets import bucket_join, large_buckets
 from millrace.operators.token_sets import copy_links, distinct_sets, hashed_sets, token_sets
 from millrace.operators.vector_join import near_vectors
@@ -74,6 +74,34 @@ def test_exact_join_finds_every_pair(texts, distance, bucket_rows, sample):
     assert pairs(found) == brute(rows, rows, distance, True)
 
 
+@pytest.mark.parametrize("distance, matches", [(0.1, 1), (0.2, None), (0.4, 3), (0.6, None), (0.7, 20), (0.9, None)])
+def test_prefix_join_finds_every_pair(texts, distance, matches):
+    rows, df = texts
+    found = prefix_join.prefix_near_pairs(df, "id", "text", distance, matches)
+    assert pairs(found) == brute(rows, rows, distance, True)
+
+
+def test_prefix_join_of_two_tables_under_any_order(spark, texts, monkeypatch):
+    rows, df = texts
+    other = [(i + 1000, t) for i, t in make_texts(60, seed=9)] + rows[5:40]
+    df_b = spark.createDataFrame(other, "key bigint, body string")
+    want = brute(rows, other, 0.7, False)
+    assert pairs(prefix_join.prefix_near_pairs_between(df, df_b, "id", "key", "text", "body", 0.7)) == want
+    few = prefix_join.token_order
+    monkeypatch.setattr(prefix_join, "token_order", lambda sets: few(sets, rows=10))
+    assert pairs(prefix_join.prefix_near_pairs_between(df, df_b, "id", "key", "text", "body", 0.7)) == want
+    assert prefix_join.prefix_near_pairs_between(df, df_b.limit(0), "id", "key", "text", "body", 0.7).collect() == []
+
+
+def test_prefix_join_tests_few_pairs(texts):
+    """Candidates are a small multiple of the answer even where thresholds are loose."""
+    rows, df = texts
+    sets = distinct_sets(token_sets(df, "id", "text")).cache()
+    shown = prefix_join.prefixes(sets, 0.6, prefix_join.token_order([sets]), 8)
+    met = prefix_join.prefix_candidates(shown, shown, 0.6, 8, True).count()
+    assert met <= 3 * len(brute(rows, rows, 0.6, True))
+
+
 def test_exact_join_of_two_tables(spark, texts):
     rows, df = texts
     other = [(i + 1000, t) for i, t in make_texts(60, seed=9)] + rows[5:40]
