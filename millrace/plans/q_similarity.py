@@ -11,7 +11,7 @@ from ..operators import features, minhash, prefix_join, token_sets
 from ..operators.vector_join import near_vectors
 from ..session import scratch_path
 from ..sources.files import stream_table
-from ..streaming.near_dup import Index, build_index, stream_near_duplicates
+from ..streaming.near_dup import Index, build_index, stream_corpus, stream_near_duplicates
 from .catalog import query, table
 from .q_text import DOC_VECTOR_SQL, doc_vectors
 
@@ -133,6 +133,24 @@ def stream_near_dup_stop(spark, sf):
     return _looked_up(spark, sf, partial(token_sets.token_sets, stop_words=STREAM_STOP))
 
 
+#: Files in which the growing corpus arrives.
+ARRIVALS = 4
+
+
+@query("stream_growing_corpus", _between_sql(STREAM_DISTANCE))
+def stream_growing_corpus(spark, sf):
+    """The documents arrive file by file in an index that starts empty; the benchmark texts are looked up when all are there and the index is compacted."""
+    root = scratch_path(spark, "stream_growing_corpus")
+    docs = documents(spark, sf).select("doc_id", "text")
+    docs.repartition(ARRIVALS).write.parquet(f"{root}/arrivals")
+    shape = build_index(docs.limit(0), "doc_id", "text", STREAM_DISTANCE, f"{root}/index")
+    index = Index(spark, f"{root}/index", shape)
+    arriving = stream_table(spark, f"{root}/arrivals", docs.schema, max_files=1)
+    stream_corpus(arriving, index, "doc_id", "text", f"{root}/checkpoint").awaitTermination()
+    index.compact()
+    return index.lookup(table(spark, sf, "benchmark"), "item_id", "text", STREAM_DISTANCE)
+
+
 @query(
     "embedding_near_dup",
     f"""WITH a AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.labels import class_number
+from millrace.operators.token_sets import distinct_sets, token_sets
 from millrace.plans import classify, fare
 from millrace.schemas import LABELLED_TEXT, SCORING_INPUT
 from millrace.session import scratch_path
@@ -112,6 +113,69 @@ def test_stream_near_duplicates_equal_batch(spark):
     assert run().count() == len(expected)
 
 
+def test_a_growing_index_equals_one_built_at_once(spark):
+    rows = make_texts(150)
+    corpus = spark.createDataFrame(rows, "id bigint, text string")
+    asked = spark.createDataFrame([(i + 500, t) for i, t in make_texts(60, seed=3)], "id bigint, text string")
+    root = scratch_path(spark, "grown")
+    shape = near_dup.build_index(corpus, "id", "text", 0.3, f"{root}/whole")
+    whole = near_dup.Index(spark, f"{root}/whole", shape)
+    near_dup.build_index(corpus.limit(0), "id", "text", 0.3, f"{root}/grown")
+    grown = near_dup.Index(spark, f"{root}/grown", shape)
+    assert grown.lookup(asked, "id", "text", 0.3).collect() == []
+    for i in range(3):
+        part = spark.createDataFrame(rows[i::3], "id bigint, text string")
+        grown.add(part, "id", "text", f"part-{i}")
+        grown.add(part, "id", "text", f"part-{i}")  # again, as after a failure
+    assert len(grown.segments()) == 4
+    want = sorted(map(tuple, whole.lookup(asked, "id", "text", 0.3).collect()))
+    assert sorted(map(tuple, grown.lookup(asked, "id", "text", 0.3).collect())) == want and want
+    grown._write(distinct_sets(token_sets(corpus, "id", "text")), "broken-off")  # written, never put on the list
+    grown.compact()
+    assert len(grown.segments()) == 1
+    assert sorted(map(tuple, grown.lookup(asked, "id", "text", 0.3).collect())) == want
+
+
+def test_a_small_batch_reads_few_folders(spark):
+    corpus = spark.createDataFrame(make_texts(150), "id bigint, text string")
+    root = scratch_path(spark, "pruned")
+    shape = near_dup.build_index(corpus, "id", "text", 0.1, f"{root}/index", parts=200)
+    index = near_dup.Index(spark, f"{root}/index", shape, parts=200)
+    one = corpus.where("id = 5")
+    keys = near_dup.band_keys(distinct_sets(token_sets(one, "id", "text")), *shape)
+    all_keys = index.keys(index.segments())
+    few = index.touched(keys, all_keys, "key")
+    assert "PartitionFilters: [part" in few._jdf.queryExecution().toString() or "part#" in few._jdf.queryExecution().toString()
+    read = few.select(F.input_file_name()).distinct().count()
+    assert 0 < read <= shape[0] < 0.2 * len(all_keys.inputFiles())
+
+
+def test_a_stream_that_grows_its_corpus_meets_what_came_before(spark):
+    rows = [(i, t) for i, t in make_texts(90) if t and t.strip()]
+    root = scratch_path(spark, "grow")
+    for i in range(3):  # every part has some of the hot family
+        spark.createDataFrame(rows[30 * i : 30 * i + 30], "id bigint, text string").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    schema = spark.createDataFrame(rows, "id bigint, text string").schema
+    shape = near_dup.build_index(spark.createDataFrame([], schema), "id", "text", 0.3, f"{root}/index")
+    index = near_dup.Index(spark, f"{root}/index", shape)
+
+    def run(checkpoint):
+        stream = files.stream_table(spark, f"{root}/in", schema, max_files=1)
+        near_dup.stream_near_duplicates(stream, index, "id", "text", 0.3, f"{root}/out", f"{root}/{checkpoint}", grow=True).awaitTermination()
+        return sorted(map(tuple, spark.read.parquet(f"{root}/out").where("batch > 0").collect()))
+
+    first = run("checkpoint")
+    assert first and len(index.segments()) == 4
+    last = spark.read.parquet(f"{root}/out").where("batch = 2")
+    met = {(r["id_a"], r["id_b"]) for r in last.collect()}
+    assert met and not met & {(b, a) for a, b in met}
+    # the last batch replayed, as after a failure between adding and the checkpoint
+    batch = spark.createDataFrame(rows[:0], schema)
+    assert index.lookup(batch, "id", "text", 0.3, without="batch-2").collect() == []
+    index.add(batch, "id", "text", "batch-2")
+    assert len(index.segments()) == 4
+
+
 def test_fares(spark):
     rng = random.Random(4)
     rows = []
