@@ -11,8 +11,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import sys
-import types
 
 import numpy as np
 import pyarrow as pa
@@ -62,14 +60,20 @@ def read_vocabulary(path: str) -> dict:
     for merge in model["merges"]:
         left, right = merge if isinstance(merge, list) else merge.split(" ")
         merges.append((ids[plain(left)], ids[plain(right)], ids[plain(left) + plain(right)]))
-    digest = hashlib.sha256(json.dumps(file, sort_keys=True).encode()).hexdigest()
-    return {"ids": ids, "merges": merges, "added": added, "digest": digest}
+    return {"ids": ids, "merges": merges, "added": added}
 
 
 class TrieEncoder:
-    """Encodes words of bytes; remembers words and pairs up to a bound."""
+    """Encodes words of bytes; remembers words and pairs up to a bound.
 
-    def __init__(self, vocabulary: dict):
+    ``prepared`` are the tables of an encoder made before, which are read only.
+    """
+
+    def __init__(self, vocabulary: dict, prepared: dict | None = None):
+        if prepared is not None:
+            self.__dict__.update(prepared)
+            self.step, self.pairs = dict(self.step), {}
+            return
         self.rank = {(a, b): i for i, (a, b, _) in enumerate(vocabulary["merges"])}
         self.parts = parts = {c: (a, b, i) for i, (a, b, c) in reversed(list(enumerate(vocabulary["merges"])))}
         byte_tokens = {t for b, t in vocabulary["ids"].items() if len(b) == 1}
@@ -88,6 +92,10 @@ class TrieEncoder:
                 edges[t] = [at, *[x for x, _ in reversed(steps)]], [*[r for _, r in reversed(steps)], _NEVER]
         self.pairs: dict[int, bool] = {}
 
+    def prepared(self) -> dict:
+        """The tables that hang on the vocabulary alone."""
+        return {name: value for name, value in vars(self).items() if name != "pairs"}
+
     def _link(self) -> None:
         """An automaton over the tokens: reading bytes, its state tells which tokens end here, longest first."""
         self.step: dict[int, int] = {}  # state * 256 + byte -> state
@@ -198,8 +206,8 @@ class TrieEncoder:
 class Coder:
     """Texts to ids and back, as one task uses it."""
 
-    def __init__(self, vocabulary: dict):
-        self.encoder = TrieEncoder(vocabulary)
+    def __init__(self, vocabulary: dict, prepared: dict | None = None):
+        self.encoder = TrieEncoder(vocabulary, prepared)
         self.word = regex.compile(WORD)
         self.added = {k: np.array([v], "<u4").tobytes() for k, v in vocabulary["added"].items()}
         self.special = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
@@ -260,25 +268,17 @@ def _batches(texts: list[str], most: int):
         yield first, len(texts)
 
 
-def _coder(vocabulary: dict) -> Coder:
-    """The worker's coder: what one task learned serves the next ones of the same Python process."""
-    memory = sys.modules.setdefault("_trie_bpe_memory", types.ModuleType("_trie_bpe_memory")).__dict__
-    key = vocabulary["digest"]
-    if key not in memory:
-        memory.clear()
-        memory[key] = Coder(vocabulary)
-    return memory[key]
-
-
 def _per_text(docs: DataFrame, vocabulary_path: str, schema: str, row) -> DataFrame:
     """Applies ``row`` (coder, id, text, packed ids) to every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
+    vocabulary = read_vocabulary(vocabulary_path)
+    # tables of a fixed size, made once; what a task learns goes with the task
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, TrieEncoder(vocabulary).prepared()))
     names = [part.split()[0] for part in schema.split(",")]
 
     def work(batches):
         coder = None
         for batch in batches:
-            coder = coder or _coder(shared.value)
+            coder = coder or Coder(*shared.value)
             ids = batch.column("doc_id").to_pylist()
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for first, last in _batches(texts, BATCH_CHARS):
