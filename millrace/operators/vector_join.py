@@ -1,10 +1,12 @@
-"""Exact cosine join of vector tables for small distances.
+"""Exact cosine join of vector tables of any and mixed lengths.
 
 Unit vectors nearer than a cosine distance t lie within eps = sqrt(2 t) of each other, and so do
 their projections on any unit direction. Space is cut into cells along a few directions; each
 vector of one side is put into its own cell, each vector of the other side into every cell its
-eps-neighbourhood touches, so a near pair meets exactly once. More projections, on directions at
-right angles, drop most other pairs inside a cell before the vectors themselves are compared.
+eps-neighbourhood touches, so a near pair meets exactly once. The directions are those along which the
+given vectors spread most, and only those along which they fill several cells: where the distance is large, cutting
+would copy rows and part nothing. More projections, on directions at right angles, drop most other pairs inside a cell
+before the vectors themselves are compared. Vectors of different lengths never meet.
 """
 
 from __future__ import annotations
@@ -14,8 +16,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle
 from .buckets import BUCKET_ROWS, SAMPLE, bucket_join, sampled_large_buckets
 
+#: Directions on which vectors are projected.
+PROJECTIONS = 16
+#: Cells that a direction must part the vectors into, by four standard deviations, to be worth the copies.
+LEAST_CELLS = 2.0
+
 
 def distinct_vectors(df: DataFrame, id_col: str, vector: Column) -> DataFrame:
     """(id, v, copies): one row per different non-zero vector, under its smallest id."""
@@ -28,28 +36,30 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def _directions(n: int, dim: int) -> str:
-    """n rows of a Walsh matrix as a constant: signs by the parity of common bits, at right angles
-    to each other when ``dim`` is a power of two."""
+def placed_vectors(vectors: DataFrame, projections: int = PROJECTIONS) -> DataFrame:
+    """(id, dim, p0, p1, ...): length and coordinates of the unit vectors along rows of a Walsh matrix.
+
+    Row r has the sign of the parity of the bits that r and the place have in common. Rows are at right angles where the
+    length is a power of two; rows that a length does not have count 0.
+    """
+    size = "sqrt(aggregate(v, 0D, (s, x) -> s + x * x)) * sqrt(cast(size(v) AS DOUBLE))"
     rows = [
-        ", ".join("1D" if bin(row & i).count("1") % 2 == 0 else "-1D" for i in range(dim))
-        for row in range(1, n + 1)
+        f"if({r} < size(v), aggregate(transform(v, (x, i) -> if(bit_count(i & {r}) % 2 = 0, x, -x)), 0D, (s, x) -> s + x) / ({size}), 0D)"
+        for r in range(1, projections + 1)
     ]
-    return "array(" + ", ".join(f"array({row})" for row in rows) + ")"
-
-
-def placed_vectors(vectors: DataFrame, dim: int, projections: int) -> DataFrame:
-    """(id, p0, p1, ...): coordinates of the unit vectors along the directions."""
-    dot = "aggregate(zip_with(v, d, (x, y) -> x * y), 0D, (s, x) -> s + x)"
-    # unit vector and unit direction: divide by both lengths
-    length = f"(sqrt(aggregate(v, 0D, (s, x) -> s + x * x)) * {math.sqrt(dim)!r}D)"
-    cut = f"transform({_directions(projections, dim)}, d -> {dot} / {length})"
     # exploded as one array, so that every product is computed once
-    return vectors.select("id", F.expr(f"explode(array({cut}))").alias("p")).select(
-        "id", *[F.col("p")[i].alias(f"p{i}") for i in range(projections)]
+    return vectors.select("id", F.size("v").alias("dim"), F.expr(f"explode(array(array({', '.join(rows)})))").alias("p")).select(
+        "id", "dim", *[F.col("p")[i].alias(f"p{i}") for i in range(projections)]
     )
 
 
+def choose_directions(placed: DataFrame, width: float, most: int) -> list[int]:
+    """The projections, ``most`` at most, along which the vectors spread over several cells of that width."""
+    spread = placed.agg(*[F.stddev_pop(f"p{i}").alias(f"p{i}") for i in range(PROJECTIONS)]).first()
+    found = sorted(((spread[f"p{i}"] or 0.0, -i) for i in range(PROJECTIONS)), reverse=True)
+    return sorted(-i for s, i in found[:most] if 4 * s >= LEAST_CELLS * width)
+
+
 def near_vectors(
     df_a: DataFrame,
     df_b: DataFrame,
@@ -57,56 +67,54 @@ def near_vectors(
     id_b: str,
     vector_a: Column,
     vector_b: Column,
-    dim: int,
+    dim: int | None,
     distance: float,
     directions: int = 4,
     bucket_rows: int = BUCKET_ROWS,
     sample: float = SAMPLE,
 ) -> DataFrame:
-    """(id_a, id_b, distance, copies_a, copies_b): all pairs with cosine distance below ``distance``.
+    """(id_a, id_b, distance, copies_a, copies_b): all pairs of equally long vectors with cosine distance below ``distance``.
 
-    ``directions`` sets how finely space is cut: cells shrink with it, and each vector of the
+    ``dim`` keeps vectors of that length only; None takes all lengths. At most ``directions`` directions cut space, and each vector of the
     second side is copied to at most 2 ** directions cells. Larger tables want more.
     """
     eps = math.sqrt(2 * distance) * (1 + 1e-9) + 1e-9
     width = 2 * eps
-    # Walsh rows are at right angles only for a power of two; otherwise use the cell directions
-    square = dim & (dim - 1) == 0
-    extra = min(16, dim - 1) if square else min(directions, dim - 1)
-    directions = min(directions, extra)
-    cells = [f"c{i}" for i in range(directions)]
-    coords = [f"p{i}" for i in range(extra)]
-
-    def own_cell(placed: DataFrame) -> DataFrame:
-        return placed.select("id", *coords, *[F.floor(F.col(f"p{i}") / width).alias(f"c{i}") for i in range(directions)])
-
-    def touched_cells(placed: DataFrame) -> DataFrame:
-        out = placed
-        for i in range(directions):
+    coords = [f"p{i}" for i in range(PROJECTIONS)]
+
+    def vectors_of(df: DataFrame, id_col: str, vector: Column) -> DataFrame:
+        found = distinct_vectors(df, id_col, vector)
+        return settle(found if dim is None else found.where(F.size("v") == dim), "vectors")
+
+    vectors_a, vectors_b = vectors_of(df_a, id_a, vector_a), vectors_of(df_b, id_b, vector_b)
+    chosen = choose_directions(placed_vectors(vectors_b), width, directions)
+    cells = [f"c{i}" for i in chosen]
+    keys = ["dim", *cells]
+
+    def own_cell(vectors: DataFrame) -> DataFrame:
+        return placed_vectors(vectors).select("id", "dim", *coords, *[F.floor(F.col(f"p{i}") / width).alias(f"c{i}") for i in chosen])
+
+    def touched_cells(vectors: DataFrame) -> DataFrame:
+        out = placed_vectors(vectors)
+        for i in chosen:
             low = F.floor((F.col(f"p{i}") - eps) / width)
             high = F.floor((F.col(f"p{i}") + eps) / width)
             out = out.withColumn(f"c{i}", F.explode(F.sequence(low, high)))
-        return out.select("id", *coords, *cells)
-
-    def side(df: DataFrame, id_col: str, vector: Column, place) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-        def rows_of(part: DataFrame) -> DataFrame:
-            return place(placed_vectors(distinct_vectors(part, id_col, vector), dim, extra))
-
-        large = sampled_large_buckets(df, rows_of, cells, bucket_rows, sample)
-        return distinct_vectors(df, id_col, vector), rows_of(df), large
-
-    vectors_a, rows_a, large_a = side(df_a, id_a, vector_a, own_cell)
-    vectors_b, rows_b, large_b = side(df_b, id_b, vector_b, touched_cells)
-    left = rows_a.select(*cells, F.col("id").alias("id_a"), *[F.col(p).alias(f"{p}_a") for p in coords])
-    right = rows_b.select(*cells, F.col("id").alias("id_b"), *[F.col(p).alias(f"{p}_b") for p in coords])
-    if square:
-        apart = " + ".join(f"({p}_a - {p}_b) * ({p}_a - {p}_b)" for p in coords)
-        close = F.expr(apart) <= eps * eps
-    else:
-        close = F.lit(True)
-        for p in coords:
-            close = close & (F.abs(F.col(f"{p}_a") - F.col(f"{p}_b")) <= eps)
-    met = bucket_join(left, right, cells, close, "id_a", "id_b", large_a, large_b)
+        return out.select("id", *coords, *keys)
+
+    large_a = sampled_large_buckets(vectors_a, own_cell, keys, bucket_rows, sample)
+    large_b = sampled_large_buckets(vectors_b, touched_cells, keys, bucket_rows, sample)
+    left = own_cell(vectors_a).select(*keys, F.col("id").alias("id_a"), *[F.col(p).alias(f"{p}_a") for p in coords])
+    right = touched_cells(vectors_b).select(*keys, F.col("id").alias("id_b"), *[F.col(p).alias(f"{p}_b") for p in coords])
+
+    def apart(names: list[str]) -> str:
+        return " + ".join(f"({p}_a - {p}_b) * ({p}_a - {p}_b)" for p in names)
+
+    # a few coordinates first; their squares add up only where rows are at right angles
+    square = F.expr(f"{apart(coords[:6])} <= {eps * eps!r}D AND {apart(coords)} <= {eps * eps!r}D")
+    each = F.expr(" AND ".join(f"abs({p}_a - {p}_b) <= {eps!r}D" for p in coords))
+    close = F.when(F.col("dim").bitwiseAND(F.col("dim") - 1) == 0, square).otherwise(each)
+    met = bucket_join(left, right, keys, close, "id_a", "id_b", large_a, large_b)
 
     a = vectors_a.select(F.col("id").alias("id_a"), F.col("v").alias("va"), F.col("copies").alias("copies_a"))
     b = vectors_b.select(F.col("id").alias("id_b"), F.col("v").alias("vb"), F.col("copies").alias("copies_b"))

@@ -19,7 +19,7 @@ NEAR = 0.2
 JOIN_DISTANCE = 0.7
 STREAM_DISTANCE = 0.6
 SIGNATURE = 16
-VECTOR_DISTANCE = 0.001
+VECTOR_DISTANCE, LOOSE_DISTANCE = 0.001, 0.05
 PAIR = ["id_a", "id_b", "distance", "copies_a", "copies_b"]
 
 
@@ -151,24 +151,40 @@ def stream_growing_corpus(spark, sf):
     return index.lookup(table(spark, sf, "benchmark"), "item_id", "text", STREAM_DISTANCE)
 
 
-@query(
-    "embedding_near_dup",
-    f"""WITH a AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
-        b AS (SELECT vec_id AS id, list_transform(embedding::DOUBLE[], lambda x: round(x, 2)) AS v FROM embeddings),
+def _vectors_sql(a: str, b: str, distance: float) -> str:
+    """All pairs of two columns of vectors, of equal length, below a cosine distance."""
+    return f"""WITH a AS (SELECT vec_id AS id, {a} AS v FROM embeddings), b AS (SELECT vec_id AS id, {b} AS v FROM embeddings),
         a1 AS (SELECT min(id) AS id, count(*) AS copies, v FROM a GROUP BY v),
-        b1 AS (SELECT min(id) AS id, count(*) AS copies, v FROM b GROUP BY v)
-        SELECT a1.id AS id_a, b1.id AS id_b, round(1 - list_cosine_similarity(a1.v, b1.v), 6) AS distance,
-            a1.copies AS copies_a, b1.copies AS copies_b
-        FROM a1, b1 WHERE 1 - list_cosine_similarity(a1.v, b1.v) < {VECTOR_DISTANCE}""",
-)
+        b1 AS (SELECT min(id) AS id, count(*) AS copies, v FROM b GROUP BY v),
+        c AS (SELECT a1.id AS id_a, b1.id AS id_b, 1 - list_dot_product(a1.v, b1.v) / (sqrt(list_dot_product(a1.v, a1.v)) * sqrt(list_dot_product(b1.v, b1.v))) AS d,
+            a1.copies AS copies_a, b1.copies AS copies_b FROM a1 JOIN b1 ON len(a1.v) = len(b1.v))
+        SELECT id_a, id_b, round(d, 6) AS distance, copies_a, copies_b FROM c WHERE d < {distance}"""
+
+
+@query("embedding_near_dup", _vectors_sql("embedding::DOUBLE[]", "list_transform(embedding::DOUBLE[], lambda x: round(x, 2))", VECTOR_DISTANCE))
 def embedding_near_dup(spark, sf):
-    """Vectors against the same vectors kept to two decimals."""
+    """Vectors against the same vectors kept to two decimals, of whatever length."""
     vectors = table(spark, sf, "embeddings", spread=True)
-    dim = 64
     rounded = F.transform("embedding", lambda x: F.round(x.cast("double"), 2))
-    return near_vectors(
-        vectors, vectors, "vec_id", "vec_id", F.col("embedding"), rounded, dim, VECTOR_DISTANCE
-    )
+    return near_vectors(vectors, vectors, "vec_id", "vec_id", F.col("embedding"), rounded, None, VECTOR_DISTANCE)
+
+
+@query(
+    "embedding_near_dup_lengths",
+    _vectors_sql(
+        "list_transform((embedding::DOUBLE[])[1:64 - 12 * (vec_id % 3)], lambda x: round(x, 1))",
+        "list_transform((embedding::DOUBLE[])[1:64 - 12 * (vec_id % 3)], lambda x: round(x, 2))", LOOSE_DISTANCE,
+    ),
+)
+def embedding_near_dup_lengths(spark, sf):
+    """Vectors of three lengths, kept to one decimal, against the same kept to two, at a loose distance."""
+    vectors = table(spark, sf, "embeddings", spread=True)
+    cut = F.slice("embedding", F.lit(1), (64 - 12 * (F.col("vec_id") % 3)).cast("int"))
+
+    def rounded(places: int):
+        return F.transform(cut, lambda x: F.round(x.cast("double"), places))
+
+    return near_vectors(vectors, vectors, "vec_id", "vec_id", rounded(1), rounded(2), None, LOOSE_DISTANCE)
 
 
 @query(
@@ -183,5 +199,5 @@ def text_vector_near_dup(spark, sf):
     """Texts to vectors of one space, and these joined by cosine."""
     vectors = doc_vectors(spark, sf)
     return near_vectors(
-        vectors, vectors, "doc_id", "doc_id", F.col("vector"), F.col("vector"), features.VECTOR_SIZE, VECTOR_DISTANCE
+        vectors, vectors, "doc_id", "doc_id", F.col("vector"), F.col("vector"), None, VECTOR_DISTANCE
     )

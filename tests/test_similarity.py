@@ -205,3 +205,24 @@ def test_near_vectors_equal_all_pairs(spark):
             ).collect()
             assert len(found) == len(expected)
             assert {(r["id_a"], r["id_b"]) for r in found} == expected
+
+
+def test_vectors_of_mixed_lengths_at_loose_distances(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(150):
+        base = random.Random(i // 5)
+        length = base.choice([1, 2, 3, 8, 12, 16, 33])
+        centre = [base.gauss(0, 1) for _ in range(length)]
+        rows.append((i, [x + rng.gauss(0, 0.25) for x in centre]))
+    rows += [(200, []), (201, None), (202, [0.0] * 8)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+
+    def cosine(x, y):
+        return 1 - sum(p * q for p, q in zip(x, y)) / (sum(p * p for p in x) * sum(q * q for q in y)) ** 0.5
+
+    kept = [r for r in rows if r[0] < 200]
+    for distance in (0.05, 0.4):
+        expected = {(i, j) for i, x in kept for j, y in kept if len(x) == len(y) and cosine(x, y) < distance}
+        found = near_vectors(df, df, "id", "id", F.col("v"), F.col("v"), None, distance, bucket_rows=20, sample=1.0).collect()
+        assert {(r["id_a"], r["id_b"]) for r in found} == expected and len(found) == len(expected)
