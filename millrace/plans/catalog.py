@@ -39,6 +39,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
 
 def load() -> dict[str, Query]:
     """Import the modules that register queries, once."""
-    from . import q_chat, q_models, q_similarity, q_sources, q_tables, q_text, q_windows  # noqa: F401
+    from . import q_chat, q_models, q_news, q_similarity, q_sources, q_tables, q_text, q_windows  # noqa: F401
 
     return CATALOG

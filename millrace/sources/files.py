@@ -75,13 +75,19 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_delimited(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = "=", max_files: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = "=", max_files: int | None = None, corrupt: str | None = None
 ) -> DataFrame:
-    """Stream of delimited files; a file counts as seen by its name."""
-    reader = spark.readStream.schema(schema).option("sep", sep).option("fileNameOnly", "true")
+    """Stream of delimited files; a file counts as seen by its name.
+
+    With ``corrupt`` a column of that name holds the whole line where it has not as many fields as the schema, else NULL.
+    """
+    reader = spark.readStream.option("sep", sep).option("fileNameOnly", "true")
+    if corrupt:
+        schema = T.StructType([*schema, T.StructField(corrupt, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt).option("mode", "PERMISSIVE")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path)
+    return reader.schema(schema).csv(path)
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:

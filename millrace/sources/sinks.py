@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
@@ -61,3 +61,25 @@ def start_stream(
         writer = writer.queryName(name)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start(path) if path else writer.start()
+
+
+def start_outputs(
+    df: DataFrame,
+    outputs: Mapping[str, Callable[[DataFrame], DataFrame]],
+    root: str,
+    checkpoint: str,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Write several tables from each micro-batch, each to ``root/<name>/batch=<n>``.
+
+    Every output of a batch has a folder of its own, which a batch that is run again replaces: after a failure between any two steps,
+    a restart leaves each row once in each output.
+    """
+
+    def write_batch(batch: DataFrame, number: int) -> None:
+        for name, make in outputs.items():
+            make(batch).write.mode("overwrite").parquet(f"{root}/{name}/batch={number}")
+
+    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_batch)
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()

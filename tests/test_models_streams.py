@@ -113,6 +113,40 @@ def test_stream_near_duplicates_equal_batch(spark):
     assert run().count() == len(expected)
 
 
+def test_outputs_hold_each_row_once_after_a_failure(spark, tmp_path):
+    root = scratch_path(spark, "outputs")
+    for i in range(3):
+        spark.range(10 * i, 10 * i + 10).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    schema, failing = spark.range(1).schema, {"on": True}
+
+    def odd(rows):
+        if failing["on"] and rows.where("id >= 20").count():
+            raise RuntimeError("lost between two outputs")
+        return rows.where("id % 2 = 1")
+
+    def run():
+        stream = files.stream_table(spark, f"{root}/in", schema, max_files=1)
+        sinks.start_outputs(stream, {"even": lambda rows: rows.where("id % 2 = 0"), "odd": odd}, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+
+    with pytest.raises(Exception, match="lost between"):
+        run()
+    failing["on"] = False
+    run()
+    run()
+    for name, rest in (("even", 0), ("odd", 1)):
+        got = spark.read.parquet(f"{root}/out/{name}")
+        assert sorted(r["id"] for r in got.collect()) == [i for i in range(30) if i % 2 == rest]
+
+
+def test_lines_of_other_lengths_are_rejected(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("Sports = won\nno separator\na = b = c\n = empty\n")
+    stream = files.stream_delimited(spark, str(tmp_path), SCORING_INPUT, corrupt="_bad")
+    root = scratch_path(spark, "rejects")
+    sinks.start_outputs(stream, {"all": lambda rows: rows}, root, f"{root}/checkpoint").awaitTermination()
+    got = {r["_bad"]: r["clean_description"] for r in spark.read.parquet(f"{root}/all").collect()}
+    assert set(got) == {None, "no separator", "a = b = c"}
+
+
 def test_a_growing_index_equals_one_built_at_once(spark):
     rows = make_texts(150)
     corpus = spark.createDataFrame(rows, "id bigint, text string")
