@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ..operators import chat
 from ..operators import windows as W
 from ..session import scratch_path
-from ..sources.files import read_delimited, read_header_csv, read_ordered_lines, read_placed_lines, read_word_list
+from ..sources.files import read_delimited, read_header_csv, read_numbered_lines, read_placed_lines, read_word_list
 from ..sources.sinks import write_delimited, write_lines
 from .catalog import query, table
 from .q_chat import _HEADER_SQL, _STOP_SQL, _TIMED_SQL, STOP, chat_lines
@@ -80,7 +80,7 @@ def row_index_read_order(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     write_lines(ordered.select(F.concat_ws(" = ", "lang", "doc_id").alias("value")), path)
-    lines = W.number_rows(read_ordered_lines(spark, path), [], ["file_no", "block", "line"], "idx")
+    lines = read_numbered_lines(spark, path)
     cut = F.split("value", " = ")
     labelled = lines.select("idx", cut[0].alias("label"), cut[1].cast("bigint").alias("doc_id"))
     return W.first_rows(labelled, ["label"], [F.col("idx")], 2).select("label", "doc_id", "row")

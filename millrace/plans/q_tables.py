@@ -8,7 +8,9 @@ from ..functions.chat import parse_time
 from ..functions.geo import haversine_km, legacy_trip_km
 from ..functions.labels import class_name, class_number, json_payload
 from ..operators import tables as T
-from ..operators.quantiles import bin_number, quantile_edges
+from ..operators.keyed_table import KeyedTable
+from ..operators.quantiles import approximate_quantiles, bin_number, merged_quantiles, quantile_edges, quantile_sketches, rank_errors
+from ..session import scratch_path
 from . import fare
 from .catalog import query, table
 
@@ -51,6 +53,21 @@ def upsert_rows(spark, sf):
     return T.upsert_rows(base, T.literal_rows(spark, NEW_CUSTOMERS, base.schema), ["c_custkey"])
 
 
+@query(
+    "upsert_stored",
+    f"""SELECT {_CUSTOMER} FROM customer
+        WHERE c_custkey NOT IN (SELECT c_custkey FROM {_NEW_SQL})
+        UNION ALL SELECT {_CUSTOMER} FROM {_NEW_SQL}""",
+)
+def upsert_stored(spark, sf):
+    """A stored table of which only the folders of the updated keys are rewritten."""
+    base = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    stored = KeyedTable(spark, scratch_path(spark, "upsert_stored"), base.schema, ["c_custkey"], parts=16)
+    stored.create(base)
+    stored.upsert(T.literal_rows(spark, NEW_CUSTOMERS, base.schema))
+    return stored.read()
+
+
 @query("view_scan", f"SELECT {_CUSTOMER} FROM customer")
 def view_scan(spark, sf):
     T.register_view(table(spark, sf, "customer"), "customer_view")
@@ -214,3 +231,29 @@ def hour_bins(spark, sf):
     hours = table(spark, sf, "events").select("event_id", F.hour("ts").alias("hour"))
     edges = quantile_edges(hours, "hour", 4, max_rows=None)  # an hour has 24 values
     return hours.withColumn("hourbin", bin_number(F.col("hour"), edges))
+
+
+PROBABILITIES = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+#: Largest miss of a rank as a share of all rows: of the summary, which keeps it always, and of merged sketches.
+RANK_ERROR, SKETCH_ERROR = 0.005, 0.03
+_RANKS_SQL = f"SELECT unnest({PROBABILITIES})::DOUBLE AS probability, (SELECT count(value) FROM events) AS n, TRUE AS within"
+
+
+def _within(rows, found, error: float):
+    return rank_errors(rows, "value", found).select("probability", "n", (F.col("error") <= error).alias("within"))
+
+
+@query("quantiles_approx", _RANKS_SQL)
+def quantiles_approx(spark, sf):
+    """Quantiles from a summary of bounded size, their ranks counted afterwards."""
+    rows = table(spark, sf, "events").select("value")
+    return _within(rows, approximate_quantiles(rows, "value", PROBABILITIES, RANK_ERROR), RANK_ERROR)
+
+
+@query("quantiles_merged", _RANKS_SQL)
+def quantiles_merged(spark, sf):
+    """A sketch of each day and event type is written; the quantiles of all rows come from the written sketches."""
+    rows = table(spark, sf, "events").select("value", "event_type", F.to_date("ts").alias("day"))
+    path = scratch_path(spark, "quantile_sketches")
+    quantile_sketches(rows, ["day", "event_type"], "value").write.parquet(path)
+    return _within(rows, merged_quantiles(spark.read.parquet(path), PROBABILITIES), SKETCH_ERROR)

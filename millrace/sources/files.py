@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import settle
+
 
 def read_table(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
     """A Parquet table.
@@ -55,17 +57,43 @@ def read_placed_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _plain_name(name):
+    """A file's name with one slash after its scheme, as different readers write it."""
+    return F.regexp_replace(name, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
 def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file_no, block, line, value): lines as ``read_placed_lines`` gives them, with the place of their file.
 
     ``file_no`` numbers the files by name, digits by value. Spark reads files by size, so ``line`` alone tells nothing of two files.
-    The names, one a file, come to the driver.
+    The names are listed without reading the files.
     """
     lines = read_placed_lines(spark, path)
-    names = [r["file"] for r in lines.select("file").distinct().collect()]
+    names = [re.sub("^([A-Za-z0-9]+):/+", r"\1:/", name) for name in spark.read.text(path).inputFiles()]
     names.sort(key=lambda name: [int(x) if x.isdecimal() else x for x in re.split(r"([0-9]+)", name)])
-    numbered = spark.createDataFrame(list(enumerate(names)), "file_no long, file string")
-    return lines.join(F.broadcast(numbered), "file").select("file_no", "block", "line", "value")
+    numbered = spark.createDataFrame(list(enumerate(names)), "file_no long, _name string")
+    placed = lines.join(F.broadcast(numbered), _plain_name(F.col("file")) == F.col("_name"))
+    return placed.select("file_no", "block", "line", "value")
+
+
+#: Pieces of files whose first numbers are sent to all tasks; of more pieces they are joined by shuffle.
+SENT_PIECES = 100_000
+
+
+def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(idx, value): lines numbered from 1 as they stand in their files, files in the order of ``read_ordered_lines``.
+
+    Lines are not sorted: those of each piece of a file are counted, the counts summed up over the pieces, a row each, and a line's number is
+    the sum before its piece and its place within it. Lines are written once, so that both steps see the same places.
+    """
+    lines = settle(read_ordered_lines(spark, path), "placed_lines")
+    pieces = lines.groupBy("file_no", "block").agg(F.count("*").alias("n"), F.min("line").alias("first"))
+    pieces = settle(pieces, "pieces")
+    before = Window.orderBy("file_no", "block").rowsBetween(Window.unboundedPreceding, -1)  # one row per piece
+    offsets = pieces.select("file_no", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    offsets = F.broadcast(offsets) if pieces.count() <= SENT_PIECES else offsets
+    numbered = lines.join(offsets, ["file_no", "block"])
+    return numbered.select((F.col("offset") + F.col("line") - F.col("first") + 1).alias("idx"), "value")
 
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
