@@ -23,11 +23,11 @@ from pyspark.sql.types import _parse_datatype_string
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Encoded words, and pairs of tokens, that a worker remembers at most.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Steps of the automaton that are kept at most.
 STEPS = 400_000
-#: Characters encoded together, so that words meet in one trie.
-BATCH_CHARS = 1 << 22
+#: Characters encoded together, so that words meet in one trie, and rows of which texts are taken from a batch at once.
+BATCH_CHARS, ROWS = 1 << 20, 512
 
 #: A run without white space with at most one blank before it; no word reaches over its ends.
 _RUN = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
@@ -72,7 +72,7 @@ class TrieEncoder:
     def __init__(self, vocabulary: dict, prepared: dict | None = None):
         if prepared is not None:
             self.__dict__.update(prepared)
-            self.step, self.pairs = dict(self.step), {}
+            self.step, self.pairs, self.left_edge, self.right_edge = dict(self.step), {}, {}, {}
             return
         self.rank = {(a, b): i for i, (a, b, _) in enumerate(vocabulary["merges"])}
         self.parts = parts = {c: (a, b, i) for i, (a, b, c) in reversed(list(enumerate(vocabulary["merges"])))}
@@ -80,21 +80,23 @@ class TrieEncoder:
         # tokens that merging can reach; others never stand in an encoding
         self.ids = {b: t for b, t in vocabulary["ids"].items() if t in byte_tokens or t in parts}
         self._link()
-        self.left_edge: dict[int, list] = {}
-        self.right_edge: dict[int, list] = {}
-        for t in self.ids.values():
-            for edges, side in ((self.left_edge, 0), (self.right_edge, 1)):
-                steps, at = [], t
-                while at in parts:
-                    steps.append((at, parts[at][2]))
-                    at = parts[at][side]
-                # from the single byte at the edge up to the token: (token, rank of the merge that ends it)
-                edges[t] = [at, *[x for x, _ in reversed(steps)]], [*[r for _, r in reversed(steps)], _NEVER]
+        self.left_edge: dict[int, tuple] = {}
+        self.right_edge: dict[int, tuple] = {}
         self.pairs: dict[int, bool] = {}
 
+    def _edge(self, token: int, side: int) -> tuple[list[int], list[int]]:
+        """From the single byte at an edge up to the token: the tokens there, and the ranks of the merges that end them."""
+        steps, at = [], token
+        while at in self.parts:
+            steps.append((at, self.parts[at][2]))
+            at = self.parts[at][side]
+        found = [at, *[x for x, _ in reversed(steps)]], [*[r for _, r in reversed(steps)], _NEVER]
+        (self.right_edge if side else self.left_edge)[token] = found
+        return found
+
     def prepared(self) -> dict:
         """The tables that hang on the vocabulary alone."""
-        return {name: value for name, value in vars(self).items() if name != "pairs"}
+        return {name: value for name, value in vars(self).items() if name not in ("pairs", "left_edge", "right_edge")}
 
     def _link(self) -> None:
         """An automaton over the tokens: reading bytes, its state tells which tokens end here, longest first."""
@@ -134,8 +136,8 @@ class TrieEncoder:
 
     def _may_follow(self, a: int, b: int) -> bool:
         """Whether merging the bytes of both tokens leaves the border between them."""
-        left, left_ranks = self.right_edge[a]
-        right, right_ranks = self.left_edge[b]
+        left, left_ranks = self.right_edge.get(a) or self._edge(a, 1)
+        right, right_ranks = self.left_edge.get(b) or self._edge(b, 0)
         i = j = 0
         while True:
             across = self.rank.get((left[i], right[j]), _NEVER)
@@ -279,11 +281,13 @@ def _per_text(docs: DataFrame, vocabulary_path: str, schema: str, row) -> DataFr
         coder = None
         for batch in batches:
             coder = coder or Coder(*shared.value)
-            ids = batch.column("doc_id").to_pylist()
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for first, last in _batches(texts, BATCH_CHARS):
-                rows = [row(coder, *x) for x in zip(ids[first:last], texts[first:last], coder.encode(texts[first:last]))]
-                yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=out)
+            for at in range(0, batch.num_rows, ROWS):
+                some = batch.slice(at, ROWS)
+                ids = some.column("doc_id").to_pylist()
+                texts = [t or "" for t in some.column("text").to_pylist()]
+                for first, last in _batches(texts, BATCH_CHARS):
+                    rows = [row(coder, *x) for x in zip(ids[first:last], texts[first:last], coder.encode(texts[first:last]))]
+                    yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=out)
 
     out = to_arrow_schema(_parse_datatype_string(schema))
     return docs.select("doc_id", "text").mapInArrow(work, schema)
