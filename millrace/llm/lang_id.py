@@ -33,6 +33,8 @@ SWITCH = 12.0
 OUT = -1e4
 #: Characters whose spans are sought at once, and whose letters are taken apart at once; a longer text alone.
 BATCH_CHARS, LETTER_CHARS = 1 << 21, 1 << 18
+#: Rows of which texts are taken from a batch at once.
+ROWS = 1024
 UNKNOWN = "und"
 
 
@@ -233,7 +235,7 @@ def _labeller(tables, shared, found_fields, without_text: bool):
     def label(batches):
         script, lower = tables.value
         model = Model(**shared.value)
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for first, last in _portions(texts, BATCH_CHARS):
                 found = _Words(texts[first:last], script, lower, model)
