@@ -1,7 +1,7 @@
 """Exact top-k inner products with a vector-approximation file.
 
-The file holds for every vector the cell of each component, one byte, in a grid over the whole table.
-Cells alone bound an inner product from both sides. A search scans the cells, keeps what the bounds
+The file holds for every vector the cell of each component, one byte, in a grid over the whole table: cells of equal
+depth, and beyond them cells that grow outwards, so that a few far components widen no cell but their own. Cells alone bound an inner product from both sides. A search scans the cells, keeps what the bounds
 cannot rule out, and reads exact vectors from the highest bound downwards until the k-th result is
 certain.
 """
@@ -18,8 +18,14 @@ from pyspark.sql import functions as F
 
 from .common import settle
 
-#: Cells of a component; more cells make tighter bounds.
-CELLS = 64
+#: Cells of equal depth, and growing cells on either side of them: 256 fit into a byte.
+INNER, OUTER = 192, 32
+#: Vectors that the inner cells are fitted on at most, those whose classes have the smallest hashes; every vector gets its cells.
+SAMPLE = 20_000
+#: Share of the components at either end that the growing cells are for.
+TAIL = 0.005
+#: Share of a bound's largest terms by which it is widened for rounding.
+ROUNDING = 1e-12
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 32_768
 #: Queries whose bounds are held at once against a block of candidates.
@@ -57,14 +63,32 @@ def _ranges(batches):
         })
 
 
+def cell_edges(sample: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Lower edges of the cells of one component, and last the number after ``high``: 256 cells at most, from ``low`` to ``high``."""
+    inner = np.unique(np.quantile(sample, np.linspace(TAIL, 1 - TAIL, INNER), method="lower").astype(np.int64)) if len(sample) else np.array([low])
+    first, last = int(inner[0]), int(inner[-1])
+    step = max(1, (last - first) // OUTER)
+    grown = [step * ((1 << k) - 1) for k in range(1, OUTER)]
+    inside = {int(e) for e in inner} | {last + 1}
+    edges = sorted(inside | {low} | {first - g for g in grown} | {last + 1 + g for g in grown})
+    return np.array([e for e in edges if low <= e <= high] + [high + 1], object)
+
+
 def _grid(classes: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """For each length of vectors the lower edge and the cell width of every component."""
-    ranges = classes.mapInArrow(_ranges, "dim int, j int, low bigint, high bigint")
+    """For each length of vectors the lower and the upper end of every cell, a row per component; unused cells are empty."""
+    ranges = classes.select("dim", "v").mapInArrow(_ranges, "dim int, j int, low bigint, high bigint")
     rows = ranges.groupBy("dim", "j").agg(F.min("low").alias("low"), F.max("high").alias("high")).orderBy("dim", "j")
+    some = classes.orderBy(F.xxhash64("class"), "class").limit(SAMPLE).select("dim", "v").toPandas()  # at most SAMPLE rows
     grid = {}
     for dim, part in rows.toPandas().groupby("dim"):  # as many rows as components
-        low, high = part["low"].to_numpy(), part["high"].to_numpy()
-        grid[int(dim)] = (low, -((low - high - 1) // CELLS))
+        mine = some.loc[some["dim"] == dim, "v"]
+        sample = np.vstack(mine.to_numpy()).astype(np.int64) if len(mine) else np.zeros((0, dim), np.int64)
+        lower, upper = (np.full((int(dim), 256), np.iinfo(np.int64).max, np.int64) for _ in range(2))
+        for j, (low, high) in enumerate(zip(part["low"].tolist(), part["high"].tolist())):
+            edges = cell_edges(sample[:, j], low, high)
+            n = len(edges) - 1
+            lower[j, :n], upper[j, :n] = edges[:-1].astype(np.int64), (edges[1:] - 1).astype(np.int64)
+        grid[int(dim)] = lower, upper
     return grid
 
 
@@ -75,8 +99,12 @@ def _approximate(classes: DataFrame, grid) -> DataFrame:
             out: list[bytes] = [b""] * len(sizes)
             for dim in np.unique(sizes[sizes > 0]):
                 at = np.flatnonzero(sizes == dim)
-                low, width = grid[int(dim)]
-                found = ((_matrix(batch.column("v").take(pa.array(at)), np.int64) - low) // width).astype(np.uint8)
+                lower, upper = grid[int(dim)]
+                v = _matrix(batch.column("v").take(pa.array(at)), np.int64)
+                found = np.empty(v.shape, np.uint8)
+                for j in range(int(dim)):
+                    # the first cell whose upper end is not below the component
+                    found[:, j] = np.searchsorted(upper[j], v[:, j], "left")
                 for i, row in zip(at, found):
                     out[i] = row.tobytes()
             yield pa.RecordBatch.from_pydict({
@@ -89,7 +117,8 @@ def _approximate(classes: DataFrame, grid) -> DataFrame:
 def _bounds(query: np.ndarray, lower: np.ndarray, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Least and largest inner product of each query with any vector between two corners."""
     plus, minus = np.maximum(query, 0), np.minimum(query, 0)
-    return plus @ lower.T + minus @ upper.T, plus @ upper.T + minus @ lower.T
+    slack = np.abs(query) @ np.maximum(np.abs(lower), np.abs(upper)).T * ROUNDING
+    return plus @ lower.T + minus @ upper.T - slack, plus @ upper.T + minus @ lower.T + slack
 
 
 def _scanner(grid, k: int):
@@ -101,10 +130,9 @@ def _scanner(grid, k: int):
         vectors = np.vstack(queries["v"].to_numpy()).astype(np.float64).reshape(len(queries), dim)
         names = candidates["class"].to_numpy()
         if dim:
-            low, width = grid[dim]
             cells = np.frombuffer(b"".join(candidates["cells"]), np.uint8).reshape(-1, dim)
-            lower = (low + cells * width).astype(np.float64)
-            upper = lower + (width - 1)
+            components = np.arange(dim)
+            lower, upper = (ends[components, cells].astype(np.float64) for ends in grid[dim])
         else:
             lower = upper = np.zeros((len(names), 0))
         found = []
@@ -126,7 +154,19 @@ def _scanner(grid, k: int):
 def _exact(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs with the exact inner product of their two vectors."""
     q = classes.select(F.col("class").alias("query"), F.col("v").alias("_q"))
-    product = F.aggregate(F.zip_with("_q", "v", lambda x, y: x * y), F.lit(0).cast("bigint"), lambda s, x: s + x)
+    terms = F.arrays_zip(F.col("_q").alias("x"), F.col("v").alias("y"))
+
+    def summed(kind: str) -> Column:
+        return F.aggregate(
+            terms, F.lit(0).cast(kind), lambda s, t: F.try_add(s, F.try_multiply(t["x"].cast(kind), t["y"].cast(kind))).cast(kind)
+        )
+
+    # 64 bits where they do, then more, cut off at the ends of 64 bits
+    most, least = F.lit((1 << 63) - 1), F.lit(-(1 << 63))
+    rough = F.aggregate(terms, F.lit(0.0), lambda s, t: s + t["x"].cast("double") * t["y"].cast("double"))
+    wide = summed("decimal(38,0)")
+    cut = F.when(wide > most, most).when(wide < least, least).otherwise(wide.cast("bigint"))
+    product = F.coalesce(summed("bigint"), F.when(wide.isNotNull(), cut), F.when(rough > 0, most).otherwise(least))
     return pairs.join(classes.select("class", "v"), "class").join(q, "query").select("query", "class", product.alias("score"))
 
 
@@ -136,8 +176,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     ``rows`` has vec_id (long) and v (array of bigint); rows where either is NULL take no part. A query
     is a row for which ``is_query`` holds; its candidates are all rows but itself of the same number of
     components, ties going to the smaller vec_id. Equal rows count once; rows that share a vec_id
-    but differ are different rows. Fewer candidates than k give fewer ranks; no rows give none. Scores must fit into
-    64-bit integers, and bounds are exact up to 2^53.
+    but differ are different rows. Fewer candidates than k give fewer ranks; no rows give none. A score
+    beyond 64 bits is the largest or smallest 64-bit number. Bounds are widened for rounding, so results are exact at any size.
 
     Equal vectors are one class, searched for and found once; of a class only the k + 1 smallest ids can
     be among a result. Queries and classes meet in blocks of bounded size, where only cells are moved;
@@ -154,7 +194,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     asked = classes.where("asked").select("class", "dim", "v")
     n_classes, n_asked = classes.agg(F.count("*"), F.count_if("asked")).first()
     n_q, n_c = max(1, math.ceil(n_asked / QUERY_BLOCK)), max(1, math.ceil(n_classes / CANDIDATE_BLOCK))
-    grid = _grid(classes.where("dim > 0").select("dim", "v"))
+    grid = _grid(classes.where("dim > 0").select("class", "dim", "v"))
     file = _approximate(classes.select("class", "dim", "v"), grid)
 
     def dealt(df: DataFrame, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:

@@ -117,6 +117,34 @@ def test_top_k_of_few_rows(spark):
     assert va_file.top_k(df.limit(0), F.col("vec_id") % 20 == 0, 20).collect() == []
 
 
+def test_one_far_vector_does_not_widen_the_cells(spark):
+    random = np.random.default_rng(1)
+    vectors = np.floor(64 * random.normal(size=(4096, 32))).astype(np.int64)
+    vectors[7] = 10**14
+    classes = spark.createDataFrame([(f"c{i}", 32, v.tolist()) for i, v in enumerate(vectors)], "class string, dim int, v array<bigint>")
+    grid = va_file._grid(classes)
+    file = va_file._approximate(classes, grid).toPandas()
+    queries = classes.where("int(substring(class, 2)) % 64 = 0").select("class", "v").toPandas()
+    left = va_file._scanner(grid, 21)((32,), queries, file)
+    assert len(left) < 0.05 * len(queries) * 4096
+    scores = np.vstack(queries["v"].to_numpy()) @ vectors.T
+    at = {c: i for i, c in enumerate(queries["class"])}
+    exact = scores[left["query"].map(at), left["class"].str[1:].astype(int)]
+    assert (left["low"] <= exact).all() and (exact <= left["high"]).all()
+
+
+def test_scores_beyond_64_bits_are_cut_off(spark):
+    rows = [(0, [10**18, 1]), (20, [-(10**18), 1]), (3, [10**18, 5]), (4, [2, 10**18]), (5, [1, 1])]
+    df = spark.createDataFrame(rows, "vec_id bigint, v array<bigint>")
+    got = [tuple(r) for r in va_file.top_k(df, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect()]
+    most, least = (1 << 63) - 1, -(1 << 63)
+    want = []
+    for q, v in rows[:2]:
+        scores = sorted((-max(least, min(most, sum(a * b for a, b in zip(v, w)))), i) for i, w in rows if i != q)
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(scores, 1)]
+    assert got == want
+
+
 def test_whole_vector(spark):
     df = frame(spark, ODD)
     assert {r["vec_id"] for r in df.where(va_file.whole_vector(F.col("embedding"))).collect()} == {901, 902, 906, 907, None}
