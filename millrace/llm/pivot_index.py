@@ -26,6 +26,10 @@ DESCRIBED, SHARED = 8, 2
 PIVOT_COSINE = 0.8
 #: Rows of a list that are compared in one piece; larger lists are cut.
 LIST_BLOCK = 1024
+#: Bytes of the vectors of such a piece, and rows of it that are compared with the others at once.
+BLOCK_BYTES, TILE = 8 << 20, 64
+#: Cosines that are nearer to the threshold are computed again, pair by pair.
+ROUNDING = 1e-9
 
 
 def pivots_for(n: int) -> int:
@@ -106,26 +110,32 @@ def _compare(threshold: float, lists: int, shared: int):
         np.put_along_axis(marks, where.reshape(near.shape), 1, axis=1)
         left = np.flatnonzero(block == left_block)
         right = np.flatnonzero(block == right_block)
-        a, b = np.nonzero(marks[left] @ marks[right].T >= min(shared, near.shape[1]))
-        a, b = left[a], right[b]
-        if left_block == right_block:
-            a, b = a[a < b], b[a < b]
-        close = np.einsum("ij,ij->i", v[a], v[b]) >= threshold
-        a, b = a[close], b[close]
-        # a pair that meets in several lists counts in that of its smallest common pivot
-        own = near[:, :lists]
-        common = np.full(len(a), np.iinfo(np.int32).max)
-        for i in range(own.shape[1]):
-            both = (own[a, i][:, None] == own[b]).any(axis=1)
-            common = np.where(both, np.minimum(common, own[a, i]), common)
-        mine = common == pivot
-        a, b = a[mine], b[mine]
-        links = np.zeros(len(part), np.int64)
-        np.add.at(links, a, copies[b])
-        np.add.at(links, b, copies[a])
+        own, everyone = near[:, :lists], np.arange(len(part))
+        links, root = np.zeros(len(part), np.int64), np.arange(len(part))
+        for start in range(0, len(left), TILE):
+            rows = left[start : start + TILE]
+            cosine = v[rows] @ v[right].T
+            a, b = np.nonzero((marks[rows] @ marks[right].T >= min(shared, near.shape[1])) & (cosine >= threshold - ROUNDING))
+            unsure = cosine[a, b] < threshold + ROUNDING
+            a, b = rows[a], right[b]
+            good = np.ones(len(a), bool)
+            good[unsure] = np.einsum("ij,ij->i", v[a[unsure]], v[b[unsure]]) >= threshold
+            if left_block == right_block:
+                good &= a < b
+            a, b = a[good], b[good]
+            # a pair that meets in several lists counts in that of its smallest common pivot
+            common = np.full(len(a), np.iinfo(np.int32).max)
+            for i in range(own.shape[1]):
+                both = (own[a, i][:, None] == own[b]).any(axis=1)
+                common = np.where(both, np.minimum(common, own[a, i]), common)
+            mine = common == pivot
+            a, b = a[mine], b[mine]
+            np.add.at(links, a, copies[b])
+            np.add.at(links, b, copies[a])
+            root = _roots(len(part), np.concatenate((a, everyone)), np.concatenate((b, root)))
         rep = part["rep"].to_numpy()
         linked = np.flatnonzero(links)
-        return pd.DataFrame({"rep": rep[linked], "links": links[linked], "root": rep[_roots(len(part), a, b)[linked]]})
+        return pd.DataFrame({"rep": rep[linked], "links": links[linked], "root": rep[root[linked]]})
 
     return compare
 
@@ -145,7 +155,7 @@ def near_duplicates(
 
     Equal vectors of a label are folded into one with a count before they are indexed. Pivots are a
     sample of the vectors, twice the root of their number, less those close to another; every vector is indexed, in the lists of its ``lists`` nearest
-    pivots. A list of more than ``list_block`` rows is cut into blocks, each pair of which is a group
+    pivots. A list of more than ``list_block`` rows, fewer of long vectors, is cut into blocks, each pair of which is a group
     of its own. Links are summed inside the groups and leave them as one row per vector, never as pairs.
     """
     v = F.col("embedding").cast("array<double>")
@@ -171,7 +181,8 @@ def near_duplicates(
     described = settle(described, "described")
     key = ["label", "dim", "pivot"]
     listed = described.withColumn("pivot", F.explode(F.slice("near", 1, lists)))
-    sizes = listed.groupBy(*key).count().where("count > 1").select(*key, F.ceil(F.col("count") / list_block).alias("blocks"))
+    most = F.greatest(F.lit(1), F.least(F.lit(list_block), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("dim")))))
+    sizes = listed.groupBy(*key).count().where("count > 1").select(*key, F.ceil(F.col("count") / most).alias("blocks"))
     listed = listed.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     pieces = listed.withColumn("_other", other).select(

@@ -150,6 +150,25 @@ def test_whole_vector(spark):
     assert {r["vec_id"] for r in df.where(va_file.whole_vector(F.col("embedding"))).collect()} == {901, 902, 906, 907, None}
 
 
+def test_a_dense_piece_of_long_vectors_needs_little_memory():
+    import tracemalloc
+
+    import pandas as pd
+
+    random = np.random.default_rng(2)
+    centre = random.normal(size=768)
+    v = centre + 0.05 * random.normal(size=(2048, 768))
+    part = pd.DataFrame({
+        "rep": np.arange(2048), "copies": 1, "block": np.arange(2048) % 2, "v": list(v), "near": [np.arange(8, dtype=np.int32)] * 2048,
+    })
+    tracemalloc.start()
+    got = pivot_index._compare(0.98, 5, 2)((0, 768, 0, 0, 1), part)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(got["links"]) == {1024} and set(got["root"]) == {0} and len(got) == 2048
+    assert peak < 120 << 20
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, i) for i in range(200, 260)] + [(5, 5), (None, 3), (7, 6), (6, 7)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
