@@ -110,7 +110,7 @@ def speech(spark):
         words = [draw.choice(plain) for _ in range(draw.randrange(5, 80))]
         if toxic:
             words[0] = draw.choice(["gunk", "gunky", "gunks", "Sl1me", "slime"])
-        elif i % 3 == 0:
+        elif i % 30 == 1:
             words[1:3] = ["gunk", "cleaner"]
         docs.append((i, " ".join(words)))
         labels.append((i, int(toxic)))
