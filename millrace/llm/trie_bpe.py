@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import pickle
 import re
 
 import numpy as np
@@ -43,8 +44,13 @@ def byte_letters() -> dict[str, int]:
 
 def read_vocabulary(path: str) -> dict:
     """Merges, token bytes and added tokens of a byte-level BPE file of the tokenizers library."""
-    with open(path, encoding="utf-8") as f:
-        file = json.load(f)
+    with open(path, "rb") as f:
+        return parse_vocabulary(f.read())
+
+
+def parse_vocabulary(data: bytes) -> dict:
+    """``read_vocabulary`` of a file's bytes."""
+    file = json.loads(data)
     model = file["model"]
     before = file["pre_tokenizer"]
     if model["type"] != "BPE" or file["normalizer"] or before != {**before, "type": "ByteLevel", "add_prefix_space": False, "use_regex": True}:
@@ -272,15 +278,25 @@ def _batches(texts: list[str], most: int):
 
 def _per_text(docs: DataFrame, vocabulary_path: str, schema: str, row) -> DataFrame:
     """Applies ``row`` (coder, id, text, packed ids) to every document."""
-    vocabulary = read_vocabulary(vocabulary_path)
-    # tables of a fixed size, made once; what a task learns goes with the task
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, TrieEncoder(vocabulary).prepared()))
+    spark = docs.sparkSession
+    with open(vocabulary_path, "rb") as f:
+        data = f.read()
+
+    def prepare(batches):
+        for batch in batches:
+            vocabulary = parse_vocabulary(data)
+            tables = pickle.dumps((vocabulary, TrieEncoder(vocabulary).prepared()))
+            yield pa.RecordBatch.from_pydict({"tables": pa.array([tables] * batch.num_rows, pa.binary())})
+
+    # tables of a fixed size, made once, in a task, and sent packed; what a task learns goes with the task
+    packed = spark.range(1).coalesce(1).mapInArrow(prepare, "tables binary").first()["tables"]
+    shared = spark.sparkContext.broadcast(bytes(packed))
     names = [part.split()[0] for part in schema.split(",")]
 
     def work(batches):
         coder = None
         for batch in batches:
-            coder = coder or Coder(*shared.value)
+            coder = coder or Coder(*pickle.loads(shared.value))
             for at in range(0, batch.num_rows, ROWS):
                 some = batch.slice(at, ROWS)
                 ids = some.column("doc_id").to_pylist()
