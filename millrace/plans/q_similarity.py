@@ -19,6 +19,8 @@ NEAR = 0.2
 JOIN_DISTANCE = 0.7
 STREAM_DISTANCE = 0.6
 SIGNATURE = 16
+#: Folders of the indexes of the streaming queries; large corpora want more.
+INDEX_PARTS = 16
 VECTOR_DISTANCE, LOOSE_DISTANCE = 0.001, 0.05
 PAIR = ["id_a", "id_b", "distance", "copies_a", "copies_b"]
 
@@ -109,8 +111,8 @@ def minhash_signatures(spark, sf):
 def _looked_up(spark, sf, sets_of):
     """The benchmark texts arrive as a stream and are looked up in the index of the documents."""
     root = scratch_path(spark, "stream_near_dup")
-    shape = build_index(documents(spark, sf), "doc_id", "text", STREAM_DISTANCE, f"{root}/index", sets_of=sets_of)
-    index = Index(spark, f"{root}/index", shape, sets_of=sets_of)
+    shape = build_index(documents(spark, sf), "doc_id", "text", STREAM_DISTANCE, f"{root}/index", sets_of=sets_of, parts=INDEX_PARTS)
+    index = Index(spark, f"{root}/index", shape, sets_of=sets_of, parts=INDEX_PARTS)
     schema = table(spark, sf, "benchmark").schema
     stream = stream_table(spark, f"{sf}/benchmark.parquet*", schema)
     stream_near_duplicates(
@@ -143,8 +145,8 @@ def stream_growing_corpus(spark, sf):
     root = scratch_path(spark, "stream_growing_corpus")
     docs = documents(spark, sf).select("doc_id", "text")
     docs.repartition(ARRIVALS).write.parquet(f"{root}/arrivals")
-    shape = build_index(docs.limit(0), "doc_id", "text", STREAM_DISTANCE, f"{root}/index")
-    index = Index(spark, f"{root}/index", shape)
+    shape = build_index(docs.limit(0), "doc_id", "text", STREAM_DISTANCE, f"{root}/index", parts=INDEX_PARTS)
+    index = Index(spark, f"{root}/index", shape, parts=INDEX_PARTS)
     arriving = stream_table(spark, f"{root}/arrivals", docs.schema, max_files=1)
     stream_corpus(arriving, index, "doc_id", "text", f"{root}/checkpoint").awaitTermination()
     index.compact()
