@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import token_set
+from ..session import settle
 
 
 def token_sets(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] = ()) -> DataFrame:
@@ -96,15 +97,64 @@ def difference_bound(size_a: Column, size_b: Column, differing: Column, distance
     return differing * (2 * t.denominator - t.numerator) < (size_a + size_b) * t.numerator
 
 
+#: Sets of either side that a cell of pairs holds, about: their tokens are one row.
+CELL_SETS = 64
+
+
+def _cells(pairs: DataFrame) -> DataFrame:
+    """(id_a, id_b, label, pa, pb): the pairs in cells of at most about ``CELL_SETS`` sets of either side.
+
+    A pair goes with the smallest ``id_a`` that its ``id_b`` is paired with, so the pairs of a group of near texts come together.
+    """
+    roots = pairs.groupBy("id_b").agg(F.min("id_a").alias("label"))
+    labelled = pairs.join(roots, "id_b")
+
+    def parts(side: str) -> DataFrame:
+        members = labelled.select("label", f"id_{side}").distinct().groupBy("label").agg(F.count("*").alias("n"))
+        return members.select("label", F.ceil(F.col("n") / CELL_SETS).alias(f"n{side}"))
+
+    counted = labelled.join(parts("a"), "label").join(parts("b"), "label")
+    cut = [F.when(F.col(f"n{s}") > 1, F.pmod(F.xxhash64(f"id_{s}"), f"n{s}")).otherwise(0).cast("int").alias(f"p{s}") for s in "ab"]
+    return counted.select("id_a", "id_b", "label", *cut)
+
+
 def near_pairs(candidates: DataFrame, sets_a: DataFrame, sets_b: DataFrame, distance: float) -> DataFrame:
-    """(id_a, id_b, distance, copies_a, copies_b) of the candidates strictly below the threshold."""
+    """(id_a, id_b, distance, copies_a, copies_b) of the candidates strictly below the threshold.
+
+    Tokens are sent once to each cell of pairs that needs them, not with every pair: of n texts that are all
+    candidates of each other, each is sent to some n / ``CELL_SETS`` cells.
+    """
     t = exact(distance)
-    a = sets_a.select(F.col("id").alias("id_a"), F.col("tokens").alias("ta"), F.col("copies").alias("copies_a"))
-    b = sets_b.select(F.col("id").alias("id_b"), F.col("tokens").alias("tb"), F.col("copies").alias("copies_b"))
-    both = candidates.join(a, "id_a").join(b, "id_b")
-    counted = both.withColumn("common", F.size(F.array_intersect("ta", "tb"))).withColumn(
-        "either", F.size("ta") + F.size("tb") - F.col("common")
-    )
+    cell = ["label", "pa", "pb"]
+    pairs = settle(_cells(settle(candidates.select("id_a", "id_b"), "candidates")), "pairs")
+
+    def members(side: str, sets: DataFrame) -> DataFrame:
+        found = sets.select(F.col("id").alias(f"id_{side}"), F.struct("id", "tokens", "copies").alias("m"))
+        return pairs.select(*cell, f"id_{side}").distinct().join(found, f"id_{side}").select(*cell, "m")
+
+    if sets_a is sets_b:
+        ids = pairs.select(*cell, F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+        held = ids.join(sets_a, "id").select(*cell, F.struct("id", "tokens", "copies").alias("m"))
+        held = held.groupBy(*cell).agg(F.collect_list("m").alias("as")).withColumn("bs", F.col("as"))
+    else:
+        held_a, held_b = (members(s, sets).groupBy(*cell).agg(F.collect_list("m").alias(f"{s}s")) for s, sets in (("a", sets_a), ("b", sets_b)))
+        held = held_a.join(held_b, cell)
+    asked = pairs.groupBy(*cell).agg(F.collect_list(F.struct("id_a", "id_b")).alias("asked"))
+
+    def compared(x: Column, y: Column) -> Column:
+        return F.struct(
+            x["id"].alias("id_a"), y["id"].alias("id_b"), F.size(F.array_intersect(x["tokens"], y["tokens"])).alias("common"),
+            (F.size(x["tokens"]) + F.size(y["tokens"])).alias("sizes"), x["copies"].alias("copies_a"), y["copies"].alias("copies_b"),
+        )
+
+    def of(side: str, wanted: Column) -> Column:
+        return F.filter(f"{side}s", lambda m: m["id"] == wanted)
+
+    # an id may stand for several rows, all of which are compared
+    each = F.transform("asked", lambda p: F.flatten(
+        F.transform(of("a", p["id_a"]), lambda x: F.transform(of("b", p["id_b"]), lambda y: compared(x, y)))
+    ))
+    counted = held.join(asked, cell).select(F.explode(F.flatten(each)).alias("c")).select("c.*").withColumn("either", F.col("sizes") - F.col("common"))
     near = counted.where(
         F.col("common").cast("long") * t.denominator
         > F.col("either").cast("long") * (t.denominator - t.numerator)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import minhash, prefix_join, segment_join
+from millrace.operators import token_sets as token_sets_module
 from millrace.operators.buckets import bucket_join, large_buckets
 from millrace.operators.token_sets import copy_links, distinct_sets, hashed_sets, token_sets
 from millrace.operators.vector_join import near_vectors
@@ -226,3 +227,21 @@ def test_vectors_of_mixed_lengths_at_loose_distances(spark):
         expected = {(i, j) for i, x in kept for j, y in kept if len(x) == len(y) and cosine(x, y) < distance}
         found = near_vectors(df, df, "id", "id", F.col("v"), F.col("v"), None, distance, bucket_rows=20, sample=1.0).collect()
         assert {(r["id_a"], r["id_b"]) for r in found} == expected and len(found) == len(expected)
+
+
+def test_tokens_of_near_texts_are_sent_once_to_a_cell(spark):
+    """All pairs of 100 candidates, of which one id stands for two texts: each set goes to two cells of a side, not with each of its pairs."""
+    sets = [(i, [f"t{i}", "a", "b", "c", "d", "e"][: 6 - i % 2], 1) for i in range(100)] + [(7, ["a", "b", "c"], 2)]
+    table = spark.createDataFrame(sets, "id bigint, tokens array<string>, copies bigint")
+    asked = spark.createDataFrame([(i, j) for i in range(100) for j in range(i + 1, 100)], "id_a bigint, id_b bigint")
+    cells = token_sets_module._cells(asked).cache()
+    assert cells.count() == 4950 and cells.select("label", "pa", "pb").distinct().count() <= 4
+    want = sorted(
+        (i, j, round(1 - len(set(x) & set(y)) / len(set(x) | set(y)), 6), n, m)
+        for i, x, n in sets for j, y, m in sets if i < j and 10 * len(set(x) & set(y)) > 6 * len(set(x) | set(y))
+    )
+    got = token_sets_module.near_pairs(asked, table, table, 0.4)
+    assert sorted(map(tuple, got.collect())) == want and want
+    other = table.select("id", "tokens", "copies")
+    assert sorted(map(tuple, token_sets_module.near_pairs(asked, table, other, 0.4).collect())) == want
+    assert token_sets_module.near_pairs(asked.limit(0), table, table, 0.4).count() == 0
