@@ -8,7 +8,8 @@ slices before (counts, sums, the last few rows) is added from small per-slice to
 
 The cut points are found once per call by small aggregate jobs (row counts per key, approximate
 percentiles of the hot keys) and enter the plan as constants, so a recomputed stage cuts at the
-same places. What comes to the driver is at most a few cut points per ``max_rows`` rows.
+same places. What comes to the driver is at most a few cut points per ``max_rows`` rows, and of one key at most
+``MAX_PIECES`` or a few per ``PIECE_ROWS`` rows: every row of the key is compared with them.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_GROUP_ROWS = 4_000_000
+#: Slices of a key at most, unless these would hold more than ``PIECE_ROWS`` rows.
+MAX_PIECES, PIECE_ROWS = 200, 1_000_000
 SLICE = "__slice"
 HOT = "__hot"
 
@@ -61,6 +64,11 @@ def _percentiles(column: str, pieces: int) -> Column:
     return F.percentile_approx(column, cuts, F.lit(max(10_000, 20 * pieces)))
 
 
+def _pieces(rows: int, max_rows: int) -> int:
+    """Into how many slices a key of so many rows is cut: no more than tasks can use, as long as each stays small enough for one."""
+    return min(math.ceil(rows / max_rows), max(MAX_PIECES, math.ceil(rows / PIECE_ROWS))) + 1
+
+
 def _tuple(values: Sequence[Column]) -> Column:
     return F.struct(*[v.alias(f"o{i}") for i, v in enumerate(values)])
 
@@ -130,7 +138,8 @@ def slice_groups(
     """Number the rows of every key by slice, ascending along ``order``.
 
     ``order`` holds one or more numeric or time columns. Rows equal in all order columns stay in
-    one slice. Keys of at most ``max_rows`` rows are one slice, number 0. Slice numbers rise with
+    one slice. Keys of at most ``max_rows`` rows are one slice, number 0; slices of larger ones hold about as many, or more
+    where a key would have over ``MAX_PIECES`` of them, up to ``PIECE_ROWS``. Slice numbers rise with
     the order but need not be dense. ``max_rows=None`` is the caller's word that every group is
     small by nature (hours of a day, say), and skips the look for hot keys.
     """
@@ -145,7 +154,7 @@ def slice_groups(
         return Slices(whole, keys, order, False)
     spark = df.sparkSession
     largest = max(r["__n"] for r in hot_rows)
-    pieces = math.ceil(largest / max_rows) + 1
+    pieces = _pieces(largest, max_rows)
     hot = spark.createDataFrame(
         hot_rows, T.StructType([*[df.schema[k] for k in keys], T.StructField("__n", T.LongType())])
     )

@@ -125,3 +125,18 @@ def test_cut_running_sums_start_with_null(spark):
     plain = W.running_total(df, ["k"], ["o"], F.col("v"), "s", max_rows=None)
     cut = W.running_total(df, ["k"], ["o"], F.col("v"), "s", max_rows=25)
     assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect()))
+
+
+def test_a_key_is_cut_into_a_bounded_number_of_slices(spark, monkeypatch):
+    """Every row of a cut key is compared with the cut points, so these may not grow with the rows as long as slices are small."""
+    from millrace.operators import slicing
+
+    df = spark.range(3000).select("id", (F.col("id") * 7 % 11).alias("v"))
+    sliced = slice_groups(df, [], ["id"], 2)
+    slices = sliced.df.select(SLICE).distinct().count()
+    assert sliced.hot and 100 < slices <= slicing.MAX_PIECES + 2
+    by = Window.orderBy("id").rowsBetween(-1, 1)
+    want = as_set(df.select("id", F.avg("v").over(by).alias("m")), "id", "m")
+    assert as_set(W.moving_average(df, [], ["id"], "v", "m", 1, 1, 2), "id", "m") == want
+    monkeypatch.setattr(slicing, "PIECE_ROWS", 4)
+    assert slice_groups(df, [], ["id"], 2).df.groupBy(SLICE).count().agg(F.max("count")).first()[0] <= 8
