@@ -6,7 +6,7 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import minhash, prefix_join, segment_join
+from millrace.operators import minhash, prefix_join, segment_join, vector_join
 from millrace.operators import token_sets as token_sets_module
 from millrace.operators.buckets import bucket_join, large_buckets
 from millrace.operators.token_sets import copy_links, distinct_sets, hashed_sets, token_sets
@@ -245,3 +245,26 @@ def test_tokens_of_near_texts_are_sent_once_to_a_cell(spark):
     other = table.select("id", "tokens", "copies")
     assert sorted(map(tuple, token_sets_module.near_pairs(asked, table, other, 0.4).collect())) == want
     assert token_sets_module.near_pairs(asked.limit(0), table, table, 0.4).count() == 0
+
+
+def test_vectors_that_no_direction_parts_are_compared_in_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(16 if i % 3 else 5)]) for i in range(300)]
+    rows += [(1000 + i, [x + rng.gauss(0, 0.2) for x in v]) for i, v in rows[:60]] + [(2000, None), (2001, [0.0] * 16), (2002, [1.0, None] * 8)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    monkeypatch.setattr(vector_join, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(vector_join, "_block_rows", lambda vectors: 40)
+    near = vector_join.near_vectors(df, df, "id", "id", F.col("v"), F.col("v"), None, 0.05)
+    want = set()
+    full = [(i, v) for i, v in rows if v and None not in v and any(v)]
+    for i, x in full:
+        for j, y in full:
+            if len(x) == len(y):
+                d = 1 - sum(p * q for p, q in zip(x, y)) / (sum(p * p for p in x) * sum(q * q for q in y)) ** 0.5
+                if d < 0.05:
+                    want.add((i, j))
+    got = [(r["id_a"], r["id_b"]) for r in near.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 400
+    blocks = vector_join._near_in_blocks(*(vector_join.distinct_vectors(df, "id", F.col("v")) for _ in "ab"), 0.05)
+    assert blocks.rdd.getNumPartitions() > 8  # small rows, but much work
+    assert {(r["id_a"], r["id_b"]) for r in blocks.collect()} >= want
