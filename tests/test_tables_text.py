@@ -1,5 +1,7 @@
+import hashlib
 import math
 import random
+import re
 import shutil
 
 import pytest
@@ -273,3 +275,20 @@ def test_stored_upsert_leaves_other_files(spark):
     assert stored.read().count() == 1001
     stored.create(rows.limit(0))
     assert stored.read().collect() == []
+
+
+def test_document_vectors_send_words_once_by_word_and_once_by_text(spark):
+    texts = [(1, "a b a c"), (2, "A\tb  b"), (3, None), (4, "   "), (5, ""), (6, "z"), (1, "c d"), (None, "a q")]
+    df = spark.createDataFrame(texts, "id bigint, text string")
+    vectors = features.document_vectors(df, "id", "text", 4)
+    rows = [(i, (t or "").lower().split()) for i, t in texts]
+    weight = {w: math.log((len(texts) + 1) / (sum(w in set(x) for _, x in rows) + 1)) for _, x in rows for w in x}
+    sign = {w: int(hashlib.md5(w.encode()).hexdigest()[:15], 16) for w in weight}
+    want = {}
+    for i in {i for i, x in rows if x}:
+        own = [w for j, x in rows for w in x if i == j]
+        want[i] = [sum(weight[w] * (1 if sign[w] >> k & 1 else -1) for w in own) / len(own) for k in range(4)]
+    got = {r["id"]: r["vector"] for r in vectors.collect()}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
+    plan = vectors._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert len(re.findall(r"hashpartitioning\(id#", plan)) == 1
