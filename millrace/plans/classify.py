@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
+from ..session import settle
 
 # Number of hashed features, iterations and regularisation of the classifier.
 FEATURES = 20
@@ -31,9 +32,11 @@ def hashing_stages(text_col: str = "clean_description", features: int = FEATURES
 
 
 def train(rows: DataFrame, features: int = FEATURES) -> PipelineModel:
-    """Fit on (label, clean_description)."""
-    regression = LogisticRegression(maxIter=MAX_ITER, regParam=REG_PARAM)
-    return Pipeline(stages=[*hashing_stages(features=features), regression]).fit(rows)
+    """Fit on (label, clean_description). Features are written once, as the regression reads its rows several times."""
+    hashing = Pipeline(stages=hashing_stages(features=features)).fit(rows)
+    ready = settle(hashing.transform(rows).select("label", "features"), "features")
+    regression = LogisticRegression(maxIter=MAX_ITER, regParam=REG_PARAM).fit(ready)
+    return PipelineModel(stages=[*hashing.stages, regression])
 
 
 def score(model: PipelineModel, rows: DataFrame, *keep: str) -> DataFrame:

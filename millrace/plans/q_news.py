@@ -104,9 +104,10 @@ def news_stream_check(spark, sf):
     start_outputs(stream, {"kept": kept, "rejected": rejected}, root, f"{root}/checkpoint").awaitTermination()
     said = spark.read.schema("value string").parquet(f"{root}/kept").select("value")
     batch = scored_messages(read_delimited(spark, path, SCORING_INPUT), model, F.col("clean_description"))
-    # equal rows, with their counts, from both sides
-    counts = said.withColumn("n", F.lit(1)).unionByName(batch.withColumn("n", F.lit(-1)))
-    unlike = counts.groupBy("value").agg(F.sum("n").alias("n")).where("n <> 0").agg(F.count("*").alias("n_unlike"))
+    # equal rows, with their counts, from both sides, by digests of the texts
+    digest = F.sha2("value", 256).alias("digest")
+    counts = said.select(digest, F.lit(1).alias("n")).unionByName(batch.select(digest, F.lit(-1).alias("n")))
+    unlike = counts.groupBy("digest").agg(F.sum("n").alias("n")).where("n <> 0").agg(F.count("*").alias("n_unlike"))
     classes = said.agg(F.count("*").alias("n_kept"), F.count_distinct(F.get_json_object("value", "$.category")).alias("n_classes"))
     turned = spark.read.schema("value string").parquet(f"{root}/rejected").agg(F.count("*").alias("n_rejected"))
     row = classes.withColumn("one", F.lit(1)).join(turned.withColumn("one", F.lit(1)), "one").join(unlike.withColumn("one", F.lit(1)), "one")  # one row each
