@@ -86,9 +86,10 @@ class Index:
         """Write a segment from distinct sets (id, tokens, copies), in place of one that was broken off."""
         placed = sets.select("id", "tokens", "copies", fingerprint(F.col("tokens")).alias("print"), _part("id", self.parts).alias("part"))
         place = f"segment={name}"
-        placed.repartition("part").sortWithinPartitions("part", "id").write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/sets/{place}")
+        # each task writes its rows of every folder; to bring a folder into one task would send all rows once more
+        placed.sortWithinPartitions("part", "id").write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/sets/{place}")
         keys = band_keys(self.sets([name]), *self.shape).withColumn("part", _part("key", self.parts))
-        keys.repartition("part").sortWithinPartitions("part", "key").write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/keys/{place}")
+        keys.sortWithinPartitions("part", "key").write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/keys/{place}")
 
     def _read(self, table: str, schema: str, segments: list[str]) -> DataFrame:
         schema = f"{schema}, segment string, part int"

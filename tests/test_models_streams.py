@@ -2,13 +2,15 @@ import json
 import random
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from millrace.functions.labels import class_number
 from millrace.operators.token_sets import distinct_sets, token_sets
 from millrace.plans import classify, fare
 from millrace.schemas import LABELLED_TEXT, SCORING_INPUT
-from millrace.session import scratch_path
+from millrace.session import scratch_path, settle
 from millrace.sources import files, sinks
 from millrace.streaming import near_dup
 from millrace.streaming.score import scored_messages
@@ -232,3 +234,34 @@ def test_fares(spark):
     ).collect()[0]
     assert row["rmse"] < row["sd"] / 2
     assert {r["hourbin"] for r in predicted.select("hourbin").distinct().collect()} == {0.0, 1.0, 2.0, 3.0}
+
+
+def test_training_reads_its_texts_once(spark, feed, monkeypatch):
+    """The regression reads features that were written, and learns what the whole pipeline would."""
+    written = []
+    monkeypatch.setattr(classify, "settle", lambda df, name: written.append(settle(df, name)) or written[-1])
+    rows = spark.createDataFrame([(float(i % 2), f"word{i % 2} other{i % 5} text") for i in range(60)], "label double, clean_description string")
+    model = classify.train(rows)
+    assert [w.columns for w in written] == [["label", "features"]]
+    regression = LogisticRegression(maxIter=classify.MAX_ITER, regParam=classify.REG_PARAM)
+    whole = Pipeline(stages=[*classify.hashing_stages(), regression]).fit(rows)
+    assert model.stages[-1].coefficients.toArray() == pytest.approx(whole.stages[-1].coefficients.toArray(), abs=1e-6)
+    assert [type(s) for s in model.stages] == [type(s) for s in whole.stages]
+
+
+def test_an_index_is_written_without_sending_rows_by_folder(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"u{i % 7} w{i % 5} a b c d") for i in range(60)], "id bigint, text string")
+    path = scratch_path(spark, "index")
+
+    def refuse(*args):
+        raise AssertionError("rows are sent once more")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(docs), "repartition", refuse)
+        shape = near_dup.build_index(docs.where("id < 30"), "id", "text", 0.4, path, parts=4)
+        index = near_dup.Index(spark, path, shape, parts=4)
+        index.add(docs.where("id >= 30"), "id", "text", "more")
+        index.compact()
+    assert index.sets(index.segments()).count() == 35
+    assert index.sets(index.segments()).where("part <> pmod(xxhash64(id), 4)").count() == 0
+    assert index.lookup(docs.where("id = 3"), "id", "text", 0.1).collect()
