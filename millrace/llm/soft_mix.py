@@ -81,17 +81,25 @@ def _replay(p: np.ndarray, steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndar
     return rate, ahead
 
 
+def _packed(frames):
+    """Rows (tokens, p) as blocks of numbers, a row of a block for each."""
+    for frame in frames:
+        if len(frame):
+            block = np.column_stack((frame["tokens"].to_numpy().astype(np.float64), np.vstack(frame["p"].to_numpy())))
+            yield pd.DataFrame({"block": [block.tobytes()]})
+
+
 def _sums(steps: list[np.ndarray], domains: int):
-    """Expected tokens of each domain at the current point and at the current rates, of what one task reads."""
+    """Expected tokens of each domain at the current point and at the current rates, of the blocks that one task reads."""
 
-    def work(frames):
+    def work(blocks):
         total = np.zeros((2, domains))
-        for frame in frames:
-            if len(frame):
-                p, tokens = np.vstack(frame["p"].to_numpy()), frame["tokens"].to_numpy().astype(np.float64)
-                rate, ahead = _replay(p, steps)
-                total += np.vstack(((ahead * tokens) @ p, (rate * tokens) @ p))
-        yield pd.DataFrame({"d": np.arange(domains), "ahead": total[0], "now": total[1]})
+        for row in blocks:
+            block = np.frombuffer(row["block"]).reshape(-1, domains + 1)
+            tokens, p = block[:, 0], block[:, 1:]
+            rate, ahead = _replay(p, steps)
+            total += np.vstack(((ahead * tokens) @ p, (rate * tokens) @ p))
+        yield total
 
     return work
 
@@ -104,15 +112,15 @@ def fit_rates(rows: DataFrame, domains: list[str], weights: dict[str, float], to
     hangs on its probabilities and the misses alone, so rates are a function of the steps and need no table of their own:
     each task replays them. ``total`` tokens are wanted in all; None means the fewest at which no wanted
     domain has to be thinned. A domain without a weight is not wanted.
+
+    The rows are packed into blocks once, and a step is a plain job over these: a query planned for each of up to ``steps``
+    steps would fill the driver's memory with plans, threads and compiled code.
     """
     k = len(domains)
+    blocks = settle(rows.select("tokens", "p").mapInPandas(_packed, "block binary"), "blocks").rdd
 
     def sums(done):
-        found = rows.mapInPandas(_sums(done, k), "d int, ahead double, now double").groupBy("d").agg(F.sum("ahead"), F.sum("now"))
-        out = np.zeros((2, k))
-        for d, ahead, now in found.collect():  # a row per domain
-            out[:, d] = ahead, now
-        return out
+        return blocks.mapPartitions(_sums(done, k)).fold(np.zeros((2, k)), np.add)  # two numbers per domain from each task
 
     own = sums([])[1]
     share = np.array([max(0.0, weights.get(d, 0.0)) for d in domains])

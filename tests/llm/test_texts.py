@@ -268,6 +268,31 @@ def test_least_squares_against_a_plain_solver(spark):
     assert (gradient[rate <= 0] > -0.02).all() and np.abs(gradient[rate > 0.01]).max() < 0.02
 
 
+def test_steps_are_sums_over_all_rows_and_plan_no_queries(spark):
+    rng = np.random.default_rng(7)
+    p = rng.dirichlet([0.5, 0.5], 500)
+    tokens = rng.integers(1, 100, 500)
+    rows = spark.createDataFrame([(int(t), [float(x) for x in q]) for t, q in zip(tokens, p)], "tokens bigint, p array<double>")
+    own, total = p.T @ tokens, float(tokens.sum())
+    context = spark._jsc.sc()
+    planned = spark._jsparkSession.sharedState().statusStore()
+
+    def queries():
+        context.listenerBus().waitUntilEmpty(30_000)
+        return planned.executionsList().iterator().toSeq().last().executionId() if planned.executionsCount() else -1
+
+    spark.range(1).collect()
+    before = queries()
+    steps = soft_mix.fit_rates(rows.repartition(3), ["a", "b"], {"a": 1.0, "b": 0.0}, total, steps=25, miss=0)
+    assert len(steps) == 25 and queries() - before <= 3
+
+    expected = []
+    for _ in range(25):
+        ahead = soft_mix._replay(p, expected)[1]
+        expected.append(((ahead * tokens) @ p - np.array([total, 0.0])) / own)
+    assert np.allclose(steps, expected, rtol=1e-9, atol=1e-9)
+
+
 def test_mixing_of_few_domains_and_no_rows(spark):
     docs, labelled, rows = mixed_docs(spark)
     one = soft_mix.mix(docs, labelled.where("domain = 'good'"), {"good": 1.0}).collect()
