@@ -20,8 +20,9 @@ from .common import settle, unit_draw
 #: Labelled documents that the classifier is fitted on at most, those whose ids have the smallest hashes.
 SAMPLE = 12_000
 FEATURES = 1 << 16
-#: Parts in which the sample is trained on.
-TRAINING_PARTS = 6
+#: Parts in which the hashed sample, at most SAMPLE sparse rows of FEATURES numbers, is trained on. Every iteration brings each part's
+#: whole gradient to the driver and, with several parts, shuffles them in a stage more; the driver's heap grows with that.
+TRAINING_PARTS = 1
 #: Steps at most, and the largest miss of a domain, as a share of all wanted tokens, at which they end.
 STEPS, MISS = 60, 1e-4
 
@@ -59,13 +60,12 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -
     labelled = labelled.dropna().select("doc_id", "domain").distinct()
     chosen = settle(labelled.orderBy(F.xxhash64("doc_id"), "domain").limit(sample), "labelled")
     rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").join(chosen, "doc_id")
-    rows = settle(rows.select("domain", words_of(F.col("text")).alias("words")), "examples")
+    rows = settle(_features(rows.select("domain", words_of(F.col("text")).alias("words"))).select("domain", "features"), "examples")
     domains = sorted(r["domain"] for r in rows.select("domain").distinct().collect())  # a few domains
     if len(domains) < 2:
         return Classifier(domains or ["all"], None)
     number = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")) - 1
-    # each part sends whole gradients in every iteration, so a sample of bounded size has few parts
-    training = _features(rows).select("features", number.cast("double").alias("label")).coalesce(TRAINING_PARTS)
+    training = rows.select("features", number.cast("double").alias("label")).coalesce(TRAINING_PARTS)
     model = LogisticRegression(family="multinomial", regParam=0.002, maxIter=40).fit(training)
     return Classifier(domains, model)
 

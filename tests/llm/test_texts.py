@@ -268,6 +268,24 @@ def test_least_squares_against_a_plain_solver(spark):
     assert (gradient[rate <= 0] > -0.02).all() and np.abs(gradient[rate > 0.01]).max() < 0.02
 
 
+def test_an_iteration_of_training_is_one_stage_with_one_gradient(spark):
+    docs, labelled, _ = mixed_docs(spark)
+    context = spark.sparkContext
+    context.setJobGroup("training", "iterations of the classifier")
+    try:
+        told = soft_mix.fit_classifier(docs.repartition(8), labelled)
+    finally:
+        for key in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            context.setLocalProperty(key, None)
+    assert told.domains == ["bad", "good"] and told.model.numFeatures == soft_mix.FEATURES
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(i) for i in tracker.getJobIdsForGroup("training")]
+    stages = [[tracker.getStageInfo(s) for s in job.stageIds] for job in jobs]
+    iterations = [job for job in stages if any("treeAggregate" in s.name for s in job if s)]
+    assert len(iterations) > 3
+    assert all(len(job) == 1 and job[0].numTasks == 1 for job in iterations)
+
+
 def test_steps_are_sums_over_all_rows_and_plan_no_queries(spark):
     rng = np.random.default_rng(7)
     p = rng.dirichlet([0.5, 0.5], 500)
