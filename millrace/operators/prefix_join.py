@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import exploded
 from ..session import settle
+from .block_join import near_pairs_in_blocks, printed
 from .token_sets import SetsOf, distinct_sets, exact, near_pairs, set_size, size_bound, token_sets
 
 #: Buckets of the table of counts, as a power of two, and rows it is counted on: both only tell how good the order is.
@@ -103,12 +104,10 @@ def prefix_near_pairs(
     """All pairs of different token sets of one table nearer than ``distance``.
 
     (id_a, id_b, distance, copies_a, copies_b) with id_a < id_b, each id the smallest of the rows holding that set; ``token_sets.copy_links``
-    gives the other rows. Token sets are written once and read for the order, the prefixes and the pairs that are left.
+    gives the other rows. Token sets are written once and read for the order and the blocks, in which prefixes and tokens are compared.
     """
-    matches = matches or default_matches(distance)
-    sets = _sets(df, id_col, text_col, sets_of)
-    rows = prefixes(sets, distance, token_order([sets]), matches)
-    return near_pairs(prefix_candidates(rows, rows, distance, matches, True), sets, sets, distance)
+    sets = printed(sets_of(df, id_col, text_col))
+    return near_pairs_in_blocks(sets, token_order([sets]), ORDER_BITS, distance, matches or default_matches(distance))
 
 
 def prefix_near_pairs_between(

@@ -6,7 +6,7 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import minhash, prefix_join, segment_join, vector_join
+from millrace.operators import block_join, minhash, prefix_join, segment_join, vector_join
 from millrace.operators import token_sets as token_sets_module
 from millrace.operators.buckets import bucket_join, large_buckets
 from millrace.operators.token_sets import copy_links, distinct_sets, hashed_sets, token_sets
@@ -268,3 +268,49 @@ def test_vectors_that_no_direction_parts_are_compared_in_blocks(spark, monkeypat
     blocks = vector_join._near_in_blocks(*(vector_join.distinct_vectors(df, "id", F.col("v")) for _ in "ab"), 0.05)
     assert blocks.rdd.getNumPartitions() > 8  # small rows, but much work
     assert {(r["id_a"], r["id_b"]) for r in blocks.collect()} >= want
+
+
+def test_blocks_of_any_size_give_all_pairs(spark, texts, monkeypatch):
+    """Small blocks, few sent at once, small steps, and rows that repeat or lack their id; nothing is shuffled by pair."""
+    rows, df = texts
+    monkeypatch.setattr(block_join, "LEAST_TOKENS", 60)
+    monkeypatch.setattr(block_join, "BLOCK_TOKENS", 400)
+    monkeypatch.setattr(block_join, "SENT_TOKENS", 900)
+    monkeypatch.setattr(block_join, "STEP", 50)
+    for distance in (0.2, 0.6, 0.9):
+        assert pairs(prefix_join.prefix_near_pairs(df, "id", "text", distance)) == brute(rows, rows, distance, True)
+    odd = [(None, rows[5][1]), (None, "x y z"), *rows[5:40], rows[8], rows[8]]
+    df_odd = spark.createDataFrame(odd, "id bigint, text string")
+    found = prefix_join.prefix_near_pairs(df_odd, "id", "text", 0.6)
+    assert pairs(found) == brute(rows[5:40], rows[5:40], 0.6, True)
+    copies = {i: n for r in found.collect() for i, n in ((r["id_a"], r["copies_a"]), (r["id_b"], r["copies_b"]))}
+    assert copies[rows[8][0]] == 3 + sum(t.split() and set(t.split()) == set(rows[8][1].split()) for i, t in rows[5:40] if i != rows[8][0])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    named = df.select(F.concat(F.lit("n"), "id").alias("id"), "text")
+    assert len(pairs(prefix_join.prefix_near_pairs(named, "id", "text", 0.6))) == len(brute(rows, rows, 0.6, True))
+    assert prefix_join.prefix_near_pairs(df.limit(0), "id", "text", 0.6).collect() == []
+
+
+def test_blocks_part_sizes_that_cannot_be_near(spark):
+    sets = spark.createDataFrame([(i, [f"w{k}" for k in range(n)], str(n)) for i, n in enumerate([1, 2, 3, 40, 41, 42, 43, 900])], "id bigint, tokens array<string>, print string")
+    blocks, sizes = block_join.make_blocks(sets, prefix_join.token_order([sets]), prefix_join.ORDER_BITS, 0, 0.2, 2)
+    assert blocks.count() == len(sizes) and sum(n for *_, n in sizes) == 1072
+    assert block_join._planned([(0, 10, 1, 1), (3, 10, 5, 5), (9, 65, 7, 8), (11, 5, 9, 9)], 30) == (
+        [0] * 9 + [1, 0, 4], [1] * 9 + [3, 1, 1], [(1, 5, 20), *[(7, 8, 22)] * 3, (9, 9, 5)]
+    )
+    assert not block_join._may_meet((1, 3, 6), (40, 43, 9), token_sets_module.exact(0.2)) and block_join._may_meet((1, 33, 6), (40, 43, 9), token_sets_module.exact(0.2))
+
+
+def test_tokens_that_share_a_hash_get_another(spark, monkeypatch):
+    """A hash of eight bits parts 30 tokens under some seeds only."""
+    rows = [(i, " ".join(f"t{(i * 7 + k) % 30}" for k in range(6 + i % 3))) for i in range(12)]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    monkeypatch.setattr(block_join, "HASH_BITS", 8)
+    sets = block_join.printed(token_sets(df, "id", "text"))
+    assert block_join.own_seed(sets) > 0
+    assert pairs(prefix_join.prefix_near_pairs(df, "id", "text", 0.9)) == brute(rows, rows, 0.9, True)
+    monkeypatch.setattr(block_join, "HASH_BITS", 2)
+    monkeypatch.setattr(block_join, "SEEDS", 3)
+    with pytest.raises(ValueError, match="no hash"):
+        block_join.own_seed(sets)
