@@ -292,3 +292,28 @@ def test_document_vectors_send_words_once_by_word_and_once_by_text(spark):
     assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
     plan = vectors._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert len(re.findall(r"hashpartitioning\(id#", plan)) == 1
+
+
+def test_learned_vectors_place_words_by_their_neighbours(spark, monkeypatch):
+    """Words that stand between the same words are nearer than others; signs drawn for each word know nothing of that."""
+    rng = random.Random(2)
+    texts = []
+    for i in range(1500):
+        kind = i % 2
+        texts.append((i, " ".join(rng.choice(["p", "q"] if kind else ["x", "y"]) if k % 3 == 1 else f"{'ab'[kind]}{rng.randrange(4)}" for k in range(24))))
+    texts += [(9000, "p"), (9001, "Q"), (9002, "x"), (9003, "y  X y"), (9004, " "), (9005, None), (9006, "once"), (9007, "y")]
+    df = spark.createDataFrame(texts, "id bigint, text string")
+    first = {r["id"]: r["vector"] for r in features.word2vec_vectors(df.repartition(3), "id", "text").collect()}
+    second = {r["id"]: r["vector"] for r in features.word2vec_vectors(df.repartition(5), "id", "text").collect()}
+    assert first.keys() == second.keys() == {i for i, t in texts if t and t.strip()} and len(first[9006]) == 10
+    assert all(first[i] == pytest.approx(second[i], abs=1e-9) for i in first)
+    assert first[9003] == pytest.approx([(2 * y + x) / 3 for x, y in zip(first[9002], first[9007])])
+
+    def cosine(a, b):
+        return sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) * sum(y * y for y in b)) ** 0.5
+
+    assert cosine(first[9000], first[9001]) > cosine(first[9000], first[9002]) + 0.1
+    assert features.word2vec_vectors(df.where("id = 9004"), "id", "text").collect() == []
+    monkeypatch.setattr(features, "WORD2VEC_TOKENS", 20_000)
+    parted = {r["id"]: r["vector"] for r in features.word2vec_vectors(df, "id", "text").collect()}
+    assert parted.keys() == first.keys() and cosine(parted[9000], parted[9001]) > cosine(parted[9000], parted[9002]) + 0.1
