@@ -104,10 +104,10 @@ def prefix_near_pairs(
     """All pairs of different token sets of one table nearer than ``distance``.
 
     (id_a, id_b, distance, copies_a, copies_b) with id_a < id_b, each id the smallest of the rows holding that set; ``token_sets.copy_links``
-    gives the other rows. Token sets are written once and read for the order and the blocks, in which prefixes and tokens are compared.
+    gives the other rows. Token sets are written once and read for their order and the blocks, in which prefixes and tokens are compared.
     """
     sets = printed(sets_of(df, id_col, text_col))
-    return near_pairs_in_blocks(sets, token_order([sets]), ORDER_BITS, distance, matches or default_matches(distance))
+    return near_pairs_in_blocks(sets, distance, matches or default_matches(distance))
 
 
 def prefix_near_pairs_between(

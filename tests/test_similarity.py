@@ -295,7 +295,7 @@ def test_blocks_of_any_size_give_all_pairs(spark, texts, monkeypatch):
 
 def test_blocks_part_sizes_that_cannot_be_near(spark):
     sets = spark.createDataFrame([(i, [f"w{k}" for k in range(n)], str(n)) for i, n in enumerate([1, 2, 3, 40, 41, 42, 43, 900])], "id bigint, tokens array<string>, print string")
-    blocks, sizes = block_join.make_blocks(sets, prefix_join.token_order([sets]), prefix_join.ORDER_BITS, 0, 0.2, 2)
+    blocks, sizes = block_join.make_blocks(sets, *block_join.token_numbers(sets), 0.2, 2)
     assert blocks.count() == len(sizes) and sum(n for *_, n in sizes) == 1072
     assert block_join._planned([(0, 10, 1, 1), (9, 10, 3, 3), (10, 10, 5, 5), (13, 65, 7, 8), (15, 5, 9, 9)], 30) == (
         [0] * 9 + [1, 1, 0, 0, 2, 0, 5], [1] * 13 + [3, 1, 1], [(1, 1, 10), (3, 5, 20), *[(7, 8, 22)] * 3, (9, 9, 5)]
@@ -308,10 +308,12 @@ def test_tokens_that_share_a_hash_get_another(spark, monkeypatch):
     rows = [(i, " ".join(f"t{(i * 7 + k) % 30}" for k in range(6 + i % 3))) for i in range(12)]
     df = spark.createDataFrame(rows, "id bigint, text string")
     monkeypatch.setattr(block_join, "HASH_BITS", 8)
+    monkeypatch.setattr(block_join, "ORDER_BITS", 3)
     sets = block_join.printed(token_sets(df, "id", "text"))
-    assert block_join.own_seed(sets) > 0
+    assert block_join.token_numbers(sets)[1] > 0
     assert pairs(prefix_join.prefix_near_pairs(df, "id", "text", 0.9)) == brute(rows, rows, 0.9, True)
     monkeypatch.setattr(block_join, "HASH_BITS", 2)
+    monkeypatch.setattr(block_join, "ORDER_BITS", 2)
     monkeypatch.setattr(block_join, "SEEDS", 3)
     with pytest.raises(ValueError, match="no hash"):
-        block_join.own_seed(sets)
+        block_join.token_numbers(sets)
